@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, packing, quality, simhash
+from . import chat, exact_dedup, packing, quality, simhash, toxicity, url_filter
+from .common import save
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -25,11 +30,22 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.range(2).selectExpr("-1L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role", f"'{chat.TRAP}' AS text")
+    nodes = save(chat.chain(turns.unionByName(trap)))
+    return chat.digests(chat.format_paths(nodes))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.rules_table(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_packing, op4_simhash, op6_exact_dedup, op8_quality)
+    f.__name__: f for f in (op2_toxicity, op3_packing, op4_simhash, op6_exact_dedup, op7_chat, op8_quality, op9_url_filter)
 }
-ORACLE_SQL = {"op6_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLE_SQL = {"op6_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat": chat.ORACLE_SQL, "op9_url_filter": url_filter.ORACLE_SQL}
