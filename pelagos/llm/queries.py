@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, packing, quality, simhash, toxicity, url_filter
+from . import chat, embedding_dedup, exact_dedup, packing, pieces, pii, quality, simhash, toxicity, url_filter
 from .common import save
 
 
@@ -14,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.surrogates(docs).withColumn("n_entities", F.size("entities"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -26,6 +32,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_links(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -45,7 +55,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.rules_table(spark))
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(_table(spark, sf_dir, "documents"), with_ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_toxicity, op3_packing, op4_simhash, op6_exact_dedup, op7_chat, op8_quality, op9_url_filter)
+    f.__name__: f for f in (op1_pii, op2_toxicity, op3_packing, op4_simhash, op5_embeddings, op6_exact_dedup, op7_chat, op8_quality, op9_url_filter, op10_pieces)
 }
 ORACLE_SQL = {"op6_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat": chat.ORACLE_SQL, "op9_url_filter": url_filter.ORACLE_SQL}
