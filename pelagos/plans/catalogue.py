@@ -1,10 +1,359 @@
-"""The registered queries of the observation engine and their SQL."""
+"""The registered queries of the observation engine, over the driver's tables, and their SQL.
+
+Series are events by user in time; doubles are rounded on both sides, sets are sorted, ties have a key.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import geo, ocean, text, units
+from ..operators import filters, joins, profiles, rollups
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+SERIES, ORDER = ["user_id"], ["ts", "event_id"]
+_WINDOW = "OVER (PARTITION BY user_id ORDER BY ts, event_id)"
+
+
+def query(sql: str) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as fixes of a platform: positions from the value and the id."""
+    lat = (F.pmod(F.col("event_id"), F.lit(170)) - 85).cast("double") + F.col("value") / 1000
+    lon = (F.pmod(F.col("event_id") * 7, F.lit(360)) - 180).cast("double")
+    return _t(spark, sf_dir, "events").withColumns({"lat": lat, "lon": lon})
+
+
+_FIXES = "SELECT *, CAST(event_id % 170 - 85 AS DOUBLE) + value / 1000 AS lat, CAST(event_id * 7 % 360 - 180 AS DOUBLE) AS lon FROM events"
+
+
+def _hav(a: str, b: str, c: str, d: str) -> str:
+    x = f"(pow(sin(radians({c} - {a}) / 2), 2) + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2))"
+    return f"(2 * 6371000.0 * atan2(sqrt({x}), sqrt(1 - {x})))"
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE (o_totalprice IS NULL OR o_totalprice <= 50000) AND o_orderstatus IN ('O', 'F')")
+def filter_null_tolerant(spark, d):
+    return filters.scan(_t(spark, d, "orders"), {"o_totalprice": (50000, "<=", True), "o_orderstatus": (["O", "F"], "IN")}, fields=["o_custkey"], keys=("o_orderkey",))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_totalprice > 300000 OR o_orderpriority = '1-URGENT' OR o_orderstatus IS NULL")
+def filter_or(spark, d):
+    return filters.scan(_t(spark, d, "orders"), {"o_totalprice": (300000, ">"), "o_orderpriority": "1-URGENT", "o_orderstatus": None}, "OR", ["o_orderkey"])
+
+
+@query("SELECT c_custkey, c_name FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 25")
+def top_customers(spark, d):
+    return filters.scan(_t(spark, d, "customer"), order=[("c_acctbal", True), "c_custkey"]).limit(25).select("c_custkey", "c_name")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey = 7 AND l_linenumber = 1")
+def source_point_lookup(spark, d):
+    return filters.scan(_t(spark, d, "lineitem"), {"l_orderkey": 7, "l_linenumber": 1}, fields=["l_orderkey", "l_linenumber", "l_quantity"])
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus IS NULL THEN 'NOT_PRESENT' WHEN o_orderstatus = 'F' THEN 'PROCESSED' WHEN o_orderstatus = 'P' THEN 'ERRORED' ELSE 'UNPROCESSED' END AS state FROM orders")
+def file_states(spark, d):
+    s = F.col("o_orderstatus")
+    return _t(spark, d, "orders").select("o_orderkey", filters.file_state(s.isNotNull(), s == "F", s == "P").alias("state"))
+
+
+@query("SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL")
+def queue_summary(spark, d):
+    return rollups.counts(_t(spark, d, "events"), "user_id", "event_type")
+
+
+@query("SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS \"F\", count(*) FILTER (o_orderstatus = 'O') AS \"O\", count(*) FILTER (o_orderstatus = 'P') AS \"P\" FROM orders GROUP BY 1")
+def queue_summary_pivot(spark, d):
+    return rollups.pivoted(_t(spark, d, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
+
+
+@query("""SELECT o_orderpriority, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders o
+  WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_mktsegment = 'BUILDING')) WHERE r = 1""")
+def dequeue_top1(spark, d):
+    locked = _t(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return joins.dequeue(_t(spark, d, "orders"), locked, "o_orderpriority", "o_custkey", [F.desc("o_totalprice"), "o_orderkey"]).select("o_orderpriority", "o_orderkey")
+
+
+@query("SELECT o_orderkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_returnflag = 'R')")
+def dedupe_anti_join(spark, d):
+    done = _t(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return joins.not_yet(_t(spark, d, "orders").select("o_orderkey"), done, ["o_orderkey"])
+
+
+@query("""SELECT DISTINCT o_orderkey, c_custkey FROM orders JOIN customer ON (o_custkey = c_custkey OR o_orderkey = c_custkey)
+  WHERE o_orderdate >= TIMESTAMP '1995-01-01' OR c_nationkey > 12""")
+def platform_identify(spark, d):
+    start = F.when(F.col("c_nationkey") <= 12, F.lit("1995-01-01").cast("timestamp_ntz"))
+    known = _t(spark, d, "customer").select("c_custkey", F.col("c_custkey").alias("wmo"), F.col("c_custkey").alias("wigos"), start.alias("from_"), F.lit(None).cast("timestamp_ntz").alias("to_"))
+    records = _t(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("wmo"), F.col("o_orderkey").alias("wigos"), "o_orderdate")
+    return joins.identify(records, known, ["wmo", "wigos"], "o_orderkey", "c_custkey", "o_orderdate", "from_", "to_")
+
+
+@query("""WITH RECURSIVE links AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 16 <> 0 THEN c_custkey // 2 END AS t FROM customer),
+  walk AS (SELECT k, k AS here, 0 AS n FROM links UNION ALL SELECT w.k, l.t, w.n + 1 FROM walk w JOIN links l ON w.here = l.k WHERE l.t IS NOT NULL AND w.n < 64)
+  SELECT k AS c_custkey, arg_max(here, n) AS terminal FROM walk GROUP BY k""")
+def alias_chain(spark, d):
+    links = _t(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 16 != 0, F.floor(F.col("c_custkey") / 2)).alias("map_to"))
+    return joins.terminal(links, "c_custkey", "map_to")
+
+
+@query("""SELECT p_partkey, n AS n_candidates, CASE n WHEN 0 THEN 'no_record' WHEN 1 THEN 'one' ELSE 'many' END AS outcome FROM
+  (SELECT p_partkey, (SELECT count(DISTINCT l_suppkey) FROM lineitem WHERE l_partkey = p_partkey AND l_quantity > 45) AS n FROM part)""")
+def candidate_classification(spark, d):
+    matches = _t(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"), "l_suppkey").distinct()
+    return joins.classify(_t(spark, d, "part"), matches, "p_partkey", "l_suppkey").select("p_partkey", "n_candidates", "outcome")
+
+
+@query("""SELECT b.band, count(*) AS n, count(*) FILTER (l_discount > b.most) AS n_outside FROM lineitem JOIN
+  (VALUES ('a', 0, 10, 0.05), ('b', 10, 25, 0.07), ('c', 25, 50, 0.09)) b(band, low, high, most) ON l_quantity > b.low AND l_quantity <= b.high GROUP BY 1""")
+def envelope_range_join(spark, d):
+    bands = spark.createDataFrame([("a", 0, 10, 0.05), ("b", 10, 25, 0.07), ("c", 25, 50, 0.09)], "band string, low int, high int, most double")
+    found = joins.in_bands(_t(spark, d, "lineitem"), bands, "l_quantity")
+    return found.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("l_discount") > F.col("most"), 1)).alias("n_outside"))
+
+
+@query("SELECT c_custkey, CAST(CASE WHEN c_mktsegment = 'BUILDING' AND c_nationkey = 3 THEN 9000 WHEN c_mktsegment = 'BUILDING' THEN 5000 WHEN c_mktsegment = 'MACHINERY' THEN 7000 END AS DOUBLE) AS most FROM customer")
+def regional_override(spark, d):
+    base = spark.createDataFrame([("BUILDING", 5000.0), ("MACHINERY", 7000.0)], "c_mktsegment string, most double")
+    special = spark.createDataFrame([("BUILDING", 3, 9000.0)], "c_mktsegment string, c_nationkey int, most double")
+    return joins.overridden(_t(spark, d, "customer"), base, special, ["c_mktsegment"], "c_nationkey", "most").select("c_custkey", "most")
+
+
+@query(f"""SELECT event_id, round({_hav('la', 'lo', 'lat', 'lon')} / (epoch_us(ts) - epoch_us(t)) * 1e6, 4) AS speed FROM
+  (SELECT *, lag(lat) {_WINDOW} AS la, lag(lon) {_WINDOW} AS lo, lag(ts) {_WINDOW} AS t FROM ({_FIXES})) WHERE t < ts""")
+def speed_between_fixes(spark, d):
+    return profiles.speeds(_fixes(spark, d), SERIES, ORDER, "ts", "lat", "lon").where("speed is not null").select("event_id", F.round("speed", 4).alias("speed"))
+
+
+@query(f"SELECT event_id FROM (SELECT *, lag(value) {_WINDOW} AS p FROM events) WHERE value < p")
+def monotonic_violation(spark, d):
+    return profiles.decreasing(_t(spark, d, "events"), SERIES, ORDER, "value").select("event_id")
+
+
+def _spiky(name: str) -> str:
+    return f"(SELECT *, lag(value) {_WINDOW} AS v1, value AS v2, lead(value) {_WINDOW} AS v3 FROM {name})"
+
+
+_SPIKE, _GRADIENT = "abs(v2 - (v1 + v3) / 2) - abs(v1 - v3) / 2", "abs(v2 - (v1 + v3) / 2)"
+
+
+@query(f"SELECT event_id, user_id, round({_SPIKE}, 6) AS spike FROM {_spiky('events')} WHERE {_SPIKE} >= 50")
+def spike(spark, d):
+    return profiles.spikes(_t(spark, d, "events"), SERIES, ORDER, "value", 50).select("event_id", "user_id", F.round(profiles.spike_value(), 6).alias("spike"))
+
+
+@query(f"SELECT code, count(*) AS n FROM (SELECT CASE WHEN {_SPIKE} >= 60 THEN 'spike' WHEN {_GRADIENT} >= 40 THEN 'gradient' END AS code FROM {_spiky('events')}) WHERE code IS NOT NULL GROUP BY 1")
+def spike_gradient_codes(spark, d):
+    return rollups.counts(profiles.spikes(_t(spark, d, "events"), SERIES, ORDER, "value", 60, 40), "code")
+
+
+@query(f"SELECT event_id, round(value - nx, 6) AS step FROM (SELECT *, row_number() {_WINDOW} AS r, lead(value) {_WINDOW} AS nx FROM events) WHERE r = 1 AND (value - nx <= -10 OR value - nx >= 10)")
+def top_spike(spark, d):
+    return profiles.end_spikes(_t(spark, d, "events"), SERIES, ORDER, "value", -10, 10).select("event_id", F.round("step", 6).alias("step"))
+
+
+@query(f"SELECT event_id, round(value - pv, 6) AS step FROM (SELECT *, lead(event_id) {_WINDOW} AS nx, lag(value) {_WINDOW} AS pv FROM events) WHERE nx IS NULL AND (value - pv <= -10 OR value - pv >= 10)")
+def bottom_spike(spark, d):
+    return profiles.end_spikes(_t(spark, d, "events"), SERIES, ORDER, "value", -10, 10, top=False).select("event_id", F.round("step", 6).alias("step"))
+
+
+@query(f"""WITH w AS (SELECT user_id, event_id, ts, CAST(75 + event_id % 400 AS DOUBLE) AS depth, value FROM events),
+  a AS (SELECT *, lag(value) OVER s AS v1, value AS v2, lead(value) OVER s AS v3 FROM (SELECT *, max((value < 4)::INT) OVER (PARTITION BY user_id ORDER BY depth, event_id ROWS UNBOUNDED PRECEDING) AS cold FROM w WHERE depth > 75) WHERE cold = 0 WINDOW s AS (PARTITION BY user_id ORDER BY depth, event_id)),
+  b AS (SELECT *, CASE WHEN v2 - (v1 + v3) / 2 >= 5 THEN 1 WHEN v2 - (v1 + v3) / 2 <= -5 THEN -1 END AS kind FROM a),
+  c AS (SELECT *, last_value(CASE WHEN kind = 1 THEN depth END IGNORE NULLS) OVER p AS high, last_value(CASE WHEN kind = -1 THEN depth END IGNORE NULLS) OVER p AS low FROM b WINDOW p AS (PARTITION BY user_id ORDER BY depth, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+  SELECT event_id, kind FROM c WHERE depth - CASE kind WHEN 1 THEN low WHEN -1 THEN high END <= 50""")
+def inversion_3pt(spark, d):
+    df = _t(spark, d, "events").withColumn("depth", (75 + F.col("event_id") % 400).cast("double"))
+    return profiles.inversions(df, SERIES, ["depth", "event_id"], "depth", "value", step=5.0).select("event_id", "kind")
+
+
+@query("SELECT l_orderkey, count(l_discount) AS n, min(l_discount) AS value FROM lineitem GROUP BY 1 HAVING count(l_discount) >= 2 AND min(l_discount) = max(l_discount)")
+def constant_series(spark, d):
+    return profiles.constant(_t(spark, d, "lineitem"), ["l_orderkey"], "l_discount")
+
+
+@query("SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2")
+def latest_result(spark, d):
+    return rollups.latest(_t(spark, d, "events"), ["user_id", "event_type"], ORDER, ["value"])
+
+
+@query("SELECT event_id, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) > 1 AS is_stale FROM events")
+def stale_marking(spark, d):
+    return profiles.stale(_t(spark, d, "events"), ["user_id", "event_type"], ORDER).select("event_id", "is_stale")
+
+
+@query("""SELECT l_orderkey, min(q) AS min_depth, max(q) AS max_depth, CASE WHEN max(q) IS NULL THEN 'OTHER' WHEN max(q) = 0 THEN 'SURFACE' WHEN min(q) = max(q) THEN 'AT_DEPTH' ELSE 'PROFILE' END AS obs_type
+  FROM (SELECT l_orderkey, CASE WHEN l_returnflag <> 'N' THEN l_quantity END AS q FROM lineitem) GROUP BY 1""")
+def depth_extent(spark, d):
+    return rollups.extent(_t(spark, d, "lineitem"), "l_orderkey", F.when(F.col("l_returnflag") != "N", F.col("l_quantity")))
+
+
+@query("SELECT l_orderkey, CASE WHEN bool_or(l_returnflag = 'R') THEN 'MANUAL_REVIEW' WHEN bool_or(l_linestatus = 'F') THEN 'MODIFIED' ELSE 'PASS' END AS outcome FROM lineitem GROUP BY 1")
+def outcome_rollup(spark, d):
+    return _t(spark, d, "lineitem").groupBy("l_orderkey").agg(rollups.outcome(F.col("l_returnflag") == "R", F.col("l_linestatus") == "F").alias("outcome"))
+
+
+@query("SELECT o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1) // 4 AS batch_no FROM orders")
+def bounded_batches(spark, d):
+    return joins.batches(_t(spark, d, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], 4).select("o_orderkey", "batch_no")
+
+
+@query("SELECT a.event_id AS a, b.event_id AS b FROM events a JOIN events b ON a.user_id = b.user_id AND a.event_id < b.event_id AND abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 900000000")
+def pair_dupes(spark, d):
+    return joins.near_pairs(_t(spark, d, "events"), "user_id", "event_id", "ts", 900)
+
+
+_P, _LAT, _S, _TEMP = "l_quantity * 100", "l_discount * 900", "l_quantity", "(l_tax * 300)"
+
+
+def _poly(c: tuple[float, ...], x: str) -> str:
+    out = repr(c[-1])
+    for v in reversed(c[:-1]):
+        out = f"({v!r} + {out} * {x})"
+    return out
+
+
+_G = f"(9.780318 * (1 + (5.2788e-3 + 2.36e-5 * pow(sin(radians(abs({_LAT}))), 2)) * pow(sin(radians(abs({_LAT}))), 2)))"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, round({_poly(ocean.DEPTH, f'({_P})')} * {_P} / ({_G} + 1.092e-6 * {_P}), 4) AS depth_m FROM lineitem")
+def eos80_depth(spark, d):
+    return _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(ocean.depth(F.col("l_quantity") * 100, F.col("l_discount") * 900), 4).alias("depth_m"))
+
+
+_C = f"(1 - (5.92e-3 + pow(sin(radians(abs({_LAT}))), 2) * 5.25e-3))"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, round(({_C} - sqrt({_C} * {_C} - 8.84e-6 * {_P})) / 4.42e-6, 4) AS pressure_dbar FROM lineitem")
+def eos80_pressure(spark, d):
+    return _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(ocean.pressure(F.col("l_quantity") * 100, F.col("l_discount") * 900), 4).alias("pressure_dbar"))
+
+
+def _density(s: str, t: str, p: str) -> str:
+    surface = f"({_poly(ocean.SMOW, t)} + {_poly(ocean.RHO_S, t)} * {s} + {_poly(ocean.RHO_S15, t)} * pow({s}, 1.5) + {ocean.RHO_S2!r} * {s} * {s})"
+    a = f"({_poly(ocean.AW, t)} + ({_poly(ocean.A_S, t)} + {ocean.A_S15!r} * sqrt({s})) * {s})"
+    b = f"({_poly(ocean.BW, t)} + {_poly(ocean.B_S, t)} * {s})"
+    k = f"({_poly(ocean.KW, t)} + ({_poly(ocean.K_S, t)} + {_poly(ocean.K_S15, t)} * sqrt({s})) * {s})"
+    return f"{surface} / (1 - {p} / 10 / ({k} + ({a} + {b} * ({p} / 10)) * ({p} / 10)))"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, round({_density(_S, _TEMP, _P)}, 4) AS density FROM lineitem")
+def eos80_density(spark, d):
+    return _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(ocean.density(F.col("l_quantity"), F.col("l_tax") * 300, F.col("l_quantity") * 100), 4).alias("density"))
+
+
+@query(f"SELECT l_orderkey, l_linenumber, CASE WHEN {_S} BETWEEN 4 AND 40 THEN round(-7.53e-4 * {_P} - 0.0575 * {_S} + 1.710523e-3 * pow({_S}, 1.5) - 2.154996e-4 * {_S} * {_S}, 6) END AS freezing FROM lineitem")
+def freezing_point(spark, d):
+    return _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(ocean.freezing_point(F.col("l_quantity"), F.col("l_quantity") * 100), 6).alias("freezing"))
+
+
+@query("SELECT event_id, round((value - 4.4e-6 * value * (100 - value)) / 1.00024, 6) AS t90 FROM events")
+def temperature_scale(spark, d):
+    return _t(spark, d, "events").select("event_id", F.round(ocean.temperature(F.col("value"), "IPTS-48"), 6).alias("t90"))
+
+
+@query(f"SELECT event_id, round({_hav('lat', 'lon', '45.0', '-63.0')}, 2) AS metres FROM ({_FIXES})")
+def haversine(spark, d):
+    return _fixes(spark, d).select("event_id", F.round(geo.haversine(F.col("lat"), F.col("lon"), F.lit(45.0), F.lit(-63.0)), 2).alias("metres"))
+
+
+@query(f"SELECT event_id FROM ({_FIXES}) WHERE lat BETWEEN -20 AND 20 AND (lon >= 170 OR lon <= -170)")
+def date_line_search(spark, d):
+    return _fixes(spark, d).where(geo.any_box(F.col("lat"), F.col("lon"), [(-20.0, 170.0, 20.0, -170.0)])).select("event_id")
+
+
+@query(f"SELECT CAST(floor(lat) AS BIGINT) AS cell_lat, CAST(floor(lon) AS BIGINT) AS cell_lon, count(*) AS n, min(value) AS least, max(value) AS most FROM ({_FIXES}) GROUP BY 1, 2")
+def cell_grid(spark, d):
+    df = _fixes(spark, d).select(geo.cell(F.col("lat"), 1).alias("cell_lat"), geo.cell(F.col("lon"), 1).alias("cell_lon"), "value")
+    return df.groupBy("cell_lat", "cell_lon").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
+
+
+@query("SELECT event_id, round(value * 3.6, 6) AS km_h, round(value + 273.15, 6) AS kelvin, round(value * 10000, 4) AS pascal FROM events")
+def unit_convert(spark, d):
+    v = F.col("value")
+    return _t(spark, d, "events").select("event_id", F.round(units.convert(v, "m s-1", "km h-1"), 6).alias("km_h"), F.round(units.convert(v, "°C", "K"), 6).alias("kelvin"), F.round(units.convert(v, "dbar", "Pa"), 4).alias("pascal"))
+
+
+@query("SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, chr(9), ' ', 'g'), ' {2,}', ' ', 'g'))) AS digest FROM documents")
+def normalize_text(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.md5(text.normalise(F.col("text"))).alias("digest"))
+
+
+@query("SELECT page_id, regexp_replace(regexp_replace(url, '/{2,}', '/', 'g'), '^/|/$', '', 'g') AS path, len(list_filter(list_transform(string_split(url, '/'), lambda x: trim(x)), lambda x: x <> '')) AS n_parts FROM pages")
+def path_normalize(spark, d):
+    return _t(spark, d, "pages").select("page_id", text.path(F.col("url")).alias("path"), F.size(text.split_clean(F.col("url"), "/")).cast("long").alias("n_parts"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_path_extract(spark, d):
+    return _t(spark, d, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(floor((epoch_us(o_orderdate) + 631152000000000) / 60000000) AS BIGINT) AS minutes FROM orders")
+def time_parts(spark, d):
+    at = text.compact_time(F.date_format("o_orderdate", "yyyyMMdd"))
+    return _t(spark, d, "orders").select("o_orderkey", F.date_format(at, "yyyy-MM-dd").alias("day"), text.minutes_since_1950(F.col("o_orderdate")).alias("minutes"))
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P')")
+def fk_orphans(spark, d):
+    return joins.orphans(_t(spark, d, "lineitem"), _t(spark, d, "orders").where("o_orderstatus <> 'P'"), "l_orderkey", "o_orderkey").select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(*) > 1")
+def unique_violations(spark, d):
+    return joins.repeated(_t(spark, d, "lineitem"), ["l_partkey", "l_suppkey"])
+
+
+@query("SELECT d.doc_id, coalesce(l.quality, 0) AS quality FROM documents d LEFT JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY 1) l USING (doc_id)")
+def flag_promotion(spark, d):
+    flags = _t(spark, d, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    return _t(spark, d, "documents").join(flags, "doc_id", "left").select("doc_id", F.coalesce("quality", F.lit(0)).alias("quality"))
+
+
+@query("SELECT o_custkey, strftime(min(o_orderdate), '%Y-%m-%d') AS first_day, strftime(max(o_orderdate), '%Y-%m-%d') AS last_day, count(*) AS n FROM orders GROUP BY 1")
+def time_bounds(spark, d):
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return _t(spark, d, "orders").groupBy("o_custkey").agg(day(F.min("o_orderdate")).alias("first_day"), day(F.max("o_orderdate")).alias("last_day"), F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H') AS hour, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def tumbling_counts(spark, d):
+    w = F.window("ts", "1 hour")
+    return _t(spark, d, "events").groupBy(w, "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.date_format("window.start", "yyyy-MM-dd HH").alias("hour"), "event_type", "n", "total")
+
+
+@query("SELECT user_id, list_sort(list_distinct(list(event_type))) AS names, count(*) AS n FROM events GROUP BY 1")
+def parameter_sets(spark, d):
+    return _t(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("names"), F.count(F.lit(1)).alias("n"))
+
+
+@query("""SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, CASE WHEN a.v IS NULL THEN 'B' WHEN b.v IS NULL THEN 'A' WHEN a.v = b.v THEN 'IDENTICAL' ELSE 'CONFLICT' END AS outcome
+  FROM (SELECT o_custkey, max(o_orderpriority) AS v FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) a FULL JOIN (SELECT o_custkey, max(o_orderpriority) AS v FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) b ON a.o_custkey = b.o_custkey""")
+def compare_elements(spark, d):
+    side = lambda s, n: _t(spark, d, "orders").where(F.col("o_orderstatus") == s).groupBy("o_custkey").agg(F.max("o_orderpriority").alias(n))
+    how = F.when(F.col("a").isNull(), "B").when(F.col("b").isNull(), "A").when(F.col("a") == F.col("b"), "IDENTICAL").otherwise("CONFLICT")
+    return side("F", "a").join(side("O", "b"), "o_custkey", "full").select("o_custkey", how.alias("outcome"))
+
+
+@query(f"SELECT count(*) AS n FROM (SELECT lead(event_id) {_WINDOW} AS nx FROM events) WHERE nx IS NULL")
+def series_count(spark, d):
+    w = Window.partitionBy(*SERIES).orderBy(*ORDER)
+    return _t(spark, d, "events").select(F.lead("event_id").over(w).alias("nx")).where("nx is null").agg(F.count(F.lit(1)).alias("n"))
