@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,20 @@ REMEMBERED = 500_000
 _ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]|<\\|")
 
 
+def _odd(text: str) -> bool:
+    if text.isascii():
+        return "<|" in text or any(c in text for c in "\x0b\x0c\x1c\x1d\x1e\x1f")
+    return _ODD.search(text) is not None
+
+
+def _plain(word: str) -> tuple[str, str]:
+    """(string, full stop or comma or nothing) with the same ids in all: the tokenizer lower-cases, and takes a mark
+    after a letter or digit for itself. Letters beyond the Latin ones are left to it."""
+    end = word[-1] if word[-1] in ".," and word[-2:-1].isalnum() else ""
+    core = word[:-1] if end else word
+    return (core.lower() if core.isascii() or (max(core) < "ɐ" and "İ" not in core) else core), end
+
+
 class CapacityTree:
     """Open windows by remaining capacity: finds the tightest window that holds a piece.
 
@@ -84,6 +99,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves, by code
+        others = iter(range(256, 512))
+        self.signs = [chr(b) if b in shown else chr(next(others)) for b in range(256)]
         self.known: dict[str, bytes] = {}
 
     def _raw(self, parts: list[str]) -> list[bytes]:
@@ -99,12 +118,23 @@ class Encoder:
         self.known.update(zip(new, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
 
     def encode(self, found: list[str]) -> list[bytes]:
-        parts = [None if _ODD.search(t) else t.split() for t in found]
+        parts = [None if _odd(t) else t.split() for t in found]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list({w for p in parts if p for w in p} - self.known.keys())
-        for at in range(0, len(new), 20_000):
-            self._learn(new[at : at + 20_000])
+        known = self.known
+        new = list({w for p in parts if p for w in p}.difference(known))
+        plain = [_plain(w) for w in new]
+        cores = list({c for c, _ in plain}.union((".", ",")).difference(known))
+        rest = []
+        for c in cores:
+            if c.isalpha() and (c.isascii() or max(c) < "ɐ") and c.islower():  # one word for the model, as bytes
+                seen = c if c.isascii() else "".join([self.signs[b] for b in c.encode()])
+                known[c] = array("I", [x.id for x in self.model.tokenize(seen)]).tobytes()
+            else:
+                rest.append(c)
+        for at in range(0, len(rest), 500):
+            self._learn(rest[at : at + 500])
+        known.update((w, known[c] + known[end] if end else known[c]) for w, (c, end) in zip(new, plain))
         get = self.known.__getitem__
         return [self._raw([t])[0] if p is None else b"".join(map(get, p)) for t, p in zip(found, parts)]
 
