@@ -47,7 +47,7 @@ def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
     so many best paths, or all. Nodes on a cycle reach no root and are on no path.
 
     Self-joins double the reach of each node's pointer to its ancestors, so a path of n nodes takes log2(n) joins;
-    they then go from the chosen leaves to all nodes above. Only keys travel, each row joins one other.
+    nodes that have reached their root take no part in later ones. Joins then go from the chosen leaves to all nodes above. Only keys travel, each row joins one other.
     """
     nodes = nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"))
@@ -55,17 +55,18 @@ def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
         nodes.join(known, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("n")), "left")
         .select("tree", "node", F.col("n").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("depth"))
     )
-    jumps, rows = [], reach
+    jumps, done, active = [], reach.where("up is null"), reach.where("up is not null")
     limit = max(1, nodes.count()).bit_length()
-    while rows.where("up is not null").limit(1).count() and len(jumps) <= limit:
-        jumps.append(rows.where("up is not null").select(F.col("tree").alias("t"), F.col("node").alias("n"), "up"))
-        above = rows.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("next"), F.col("total").alias("more"), F.col("depth").alias("steps"))
+    while active.limit(1).count() and len(jumps) <= limit:
+        jumps.append(active.select(F.col("tree").alias("t"), F.col("node").alias("n"), "up"))
+        above = active.union(done).select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("next"), F.col("total").alias("more"), F.col("depth").alias("steps"))
         rows = save(
-            rows.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")), "left").select(
-                "tree", "node", F.col("next").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), (F.col("depth") + F.coalesce("steps", F.lit(0))).alias("depth")
+            active.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n"))).select(
+                "tree", "node", F.col("next").alias("up"), (F.col("total") + F.col("more")).alias("total"), (F.col("depth") + F.col("steps")).alias("depth")
             )
         )
-    rooted = rows.where("up is null").select("tree", "node", "depth", (F.col("total") / F.col("depth")).alias("path_score"))
+        done, active = done.union(rows.where("up is null")), rows.where("up is not null")
+    rooted = done.select("tree", "node", "depth", (F.col("total") / F.col("depth")).alias("path_score"))
     parents = reach.where("up is not null").select(F.col("tree").alias("t"), F.col("up").alias("n"))
     leaves = rooted.join(parents, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n")), "left_anti")
     best = Window.partitionBy("tree").orderBy(F.desc("path_score"), F.desc("depth"), "node")
