@@ -34,12 +34,13 @@ def outcome(review: Column, changed: Column) -> Column:
     return F.when(F.bool_or(review), "MANUAL_REVIEW").when(F.bool_or(changed), "MODIFIED").otherwise("PASS")
 
 
-def verdict(identical: Column, only_a: Column, only_b: Column, conflict: Column, total: Column) -> Column:
-    """How two records compare, from the counts of how their elements do."""
-    return (
-        F.when(identical == total, "IDENTICAL").when(conflict > 0, F.when(identical < F.floor(0.8 * total), "DIFFERENT").otherwise("CONFLICT"))
-        .when((only_a > 0) & (only_b > 0), "COMPATIBLE").when(only_a > 0, "A_HAS_MORE").otherwise("B_HAS_MORE")
-    )
+def verdict(identical: Column, a_better: Column, b_better: Column, compatible: Column, conflict: Column, probable: float = 0.8, improbable: float = 0.2) -> Column:
+    """How two records compare, from the counts of how their elements do. Thresholds are cut to whole numbers."""
+    alike = identical + a_better + b_better + compatible
+    least = lambda share: F.floor((alike + conflict) * share)
+    disputed = F.when(alike >= least(probable), "PROBABLE_MATCH").when(alike >= least(improbable), "IMPROBABLE_MATCH").otherwise("NO_MATCH")
+    mixed = (compatible > 0) | ((a_better > 0) & (b_better > 0))
+    return F.when(conflict > 0, disputed).when(mixed, "DISJOINT_MATCH").when(b_better > 0, "B_IS_SUPERSET").when(a_better > 0, "A_IS_SUPERSET").otherwise("IDENTICAL")
 
 
 def worst_quality(flags: Column) -> Column:
