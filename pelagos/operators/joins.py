@@ -40,10 +40,19 @@ def terminal(links: DataFrame, key: str, to: str) -> DataFrame:
     return out.select(F.col("k").alias(key), F.coalesce("t", "k").alias("terminal"))
 
 
-def in_bands(df: DataFrame, bands: DataFrame, value: str) -> DataFrame:
-    """df with the first band where low < value <= high (bands: band, low, high); values in no band go. Few bands: hinted."""
-    joined = df.join(F.broadcast(bands), (F.col(value) > F.col("low")) & (F.col(value) <= F.col("high")))
-    return joined
+def in_bands(df: DataFrame, bands: DataFrame, value: str, small: int = 10_000) -> DataFrame:
+    """df with its bands, low < value <= high (bands: band, low, high); values in no band go.
+
+    At most ``small`` bands are broadcast. More are dealt into cells as wide as the widest band, each band lies in two
+    cells at most, and values meet the bands of their own cell alone.
+    """
+    inside = (F.col(value) > F.col("low")) & (F.col(value) <= F.col("high"))
+    if bands.limit(small + 1).count() <= small:
+        return df.join(F.broadcast(bands), inside)
+    width = bands.agg(F.max(F.col("high") - F.col("low")).alias("w")).first().w or 1
+    cell = lambda c: F.floor(F.col(c) / F.lit(float(width))).cast("long")
+    dealt = bands.withColumn("_cell", F.explode(F.sequence(cell("low"), cell("high"))))
+    return df.withColumn("_cell", cell(value)).join(dealt, "_cell").where(inside).drop("_cell")
 
 
 def overridden(df: DataFrame, base: DataFrame, special: DataFrame, on: list[str], key: str, column: str) -> DataFrame:

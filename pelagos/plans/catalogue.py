@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, ocean, text, units
-from ..operators import filters, joins, profiles, rollups
+from ..operators import changes, compare, filters, joins, profiles, rollups, suites
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -357,3 +357,137 @@ def compare_elements(spark, d):
 def series_count(spark, d):
     w = Window.partitionBy(*SERIES).orderBy(*ORDER)
     return _t(spark, d, "events").select(F.lead("event_id").over(w).alias("nx")).where("nx is null").agg(F.count(F.lit(1)).alias("n"))
+
+
+_LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of an order as levels of a profile, with their place (line numbers repeat)."""
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*_LINE_ORDER))
+    return _t(spark, sf_dir, "lineitem").withColumn("level", place)
+
+
+_LINES = f"(SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_LINE_ORDER)}) AS level FROM lineitem)"
+
+
+@query(f"""SELECT l_orderkey, level FROM (SELECT l_orderkey, level, density, lag(density IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY level) AS previous
+  FROM (SELECT l_orderkey, level, round({_density(_S, _TEMP, _P)}, 4) AS density FROM {_LINES})) WHERE density < previous""")
+def density_inversion(spark, d):
+    df = _lines(spark, d).withColumn("density", F.round(ocean.density(F.col("l_quantity"), F.col("l_tax") * 300, F.col("l_quantity") * 100), 4))
+    return profiles.decreasing(df, ["l_orderkey"], ["level"], "density").select("l_orderkey", F.col("level").cast("long").alias("level"))
+
+
+@query("SELECT c_custkey, c_name, c_nationkey FROM customer ORDER BY c_nationkey, c_custkey DESC")
+def project_keys_sorted(spark, d):
+    return filters.scan(_t(spark, d, "customer"), fields=["c_name", "c_nationkey"], keys=("c_custkey",), order=["c_nationkey", ("c_custkey", True)])
+
+
+@query("SELECT o_orderkey, try_cast(CASE o_orderstatus WHEN 'F' THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') WHEN 'O' THEN strftime(o_orderdate, '%Y-%m-%d') ELSE o_orderpriority END AS TIMESTAMP) IS NOT NULL AS is_time FROM orders")
+def iso_parse_validity(spark, d):
+    said = F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")).when(F.col("o_orderstatus") == "O", F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.col("o_orderpriority"))
+    return _t(spark, d, "orders").select("o_orderkey", filters.is_iso_datetime(said).alias("is_time"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_totalprice END AS o_totalprice FROM orders")
+def bulk_update(spark, d):
+    table = _t(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    new = _t(spark, d, "orders").where("o_orderstatus = 'P'").select("o_orderkey", F.lit(0.0).alias("o_totalprice"))
+    return changes.updated(table, new, ["o_orderkey"])
+
+
+@query("""SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'DEBT' ELSE c_mktsegment END AS c_mktsegment FROM customer UNION ALL SELECT -1 - s_suppkey, 'SUPPLIER' FROM supplier""")
+def upsert(spark, d):
+    table = _t(spark, d, "customer").select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_mktsegment", "c_acctbal")
+    known = table.where("c_acctbal < 0").select("c_custkey", F.lit("DEBT").alias("c_mktsegment"))
+    new = _t(spark, d, "supplier").select((-1 - F.col("s_suppkey")).cast("long").alias("c_custkey"), F.lit("SUPPLIER").alias("c_mktsegment"))
+    return changes.upserted(table, known.unionByName(new), ["c_custkey"]).select("c_custkey", "c_mktsegment")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F')")
+def delete_by_key(spark, d):
+    gone = _t(spark, d, "lineitem").where("l_linestatus = 'F'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return changes.deleted(_t(spark, d, "orders").select("o_orderkey"), gone, ["o_orderkey"])
+
+
+@query("SELECT user_id, max_by(event_type, (ts, event_id)) AS event_type, max_by(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1")
+def upsert_on_conflict(spark, d):
+    return changes.newest(_t(spark, d, "events"), ["user_id"], ORDER).select("user_id", "event_type", "event_id")
+
+
+@query(r"SELECT concat_ws(chr(9), doc_id, coalesce(replace(replace(replace(replace(text, '\', '\\'), chr(13), '\r'), chr(9), '\t'), chr(10), '\n'), '\N'), coalesce(lang, '\N')) AS line FROM documents")
+def copy_escape(spark, d):
+    return changes.copy_lines(_t(spark, d, "documents").select("doc_id", "text", "lang"))
+
+
+_LEVEL_ELEMENTS = ("record_id long", "set_type string", "set_idx int", "level_idx int", "scope string", "name string", "value_idx int", "value_num double", "value_txt string", "units string", "quality int", "working_quality int", "uncertainty double")
+
+
+def _elements(df: DataFrame, record: str, level: str, held: list[tuple[str, str, str]]) -> DataFrame:
+    """Columns of a table as elements of one profile a record: (scope, name, column)."""
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("scope"), F.lit(n).alias("name"), F.col(c).cast("string").alias("v")) for s, n, c in held])).alias("e")
+    rows = df.select(F.col(record).cast("long").alias("record_id"), F.col(level).cast("int").alias("level_idx"), each)
+    own = {"set_type": F.lit("PROFILE"), "set_idx": F.lit(0), "value_idx": F.lit(0), "scope": F.col("e.scope"), "name": F.col("e.name"), "value_txt": F.col("e.v"), "value_num": F.col("e.v").try_cast("double")}
+    columns = [x.split() for x in _LEVEL_ELEMENTS]
+    return rows.select(*[own.get(n, F.col(n) if n in ("record_id", "level_idx") else F.lit(None)).cast(t).alias(n) for n, t in columns])
+
+
+_COMPARED = f"""WITH k AS (SELECT DISTINCT l_orderkey AS k FROM lineitem), p AS (SELECT a.k AS pair_id, b.k AS other FROM k a JOIN k b ON b.k = a.k + 1),
+  x AS (SELECT pair_id, level AS i, l_returnflag AS f, l_tax AS t FROM p JOIN {_LINES} ON l_orderkey = pair_id), y AS (SELECT pair_id, level AS i, l_returnflag AS f, l_tax AS t FROM p JOIN {_LINES} ON l_orderkey = other),
+  j AS (SELECT coalesce(x.pair_id, y.pair_id) AS pair_id, x.i AS xi, y.i AS yi, x.f AS xf, y.f AS yf, x.t AS xt, y.t AS yt FROM x FULL JOIN y ON x.pair_id = y.pair_id AND x.i = y.i),
+  c AS (SELECT pair_id, sum(CASE WHEN xi IS NULL OR yi IS NULL THEN 0 ELSE 1 + (xf = yf)::INT + (xt = yt)::INT END) AS identical, 2 * count(*) FILTER (yi IS NULL) AS a_better, 2 * count(*) FILTER (xi IS NULL) AS b_better,
+    sum(CASE WHEN xi IS NULL OR yi IS NULL THEN 1 ELSE (xf <> yf)::INT + (xt <> yt)::INT END) AS conflict FROM j GROUP BY 1)
+  SELECT pair_id, identical, a_better, b_better, conflict, CASE WHEN conflict > 0 THEN CASE WHEN identical + a_better + b_better >= floor((identical + a_better + b_better + conflict) * 0.8::DOUBLE) THEN 'PROBABLE_MATCH'
+    WHEN identical + a_better + b_better >= floor((identical + a_better + b_better + conflict) * 0.2::DOUBLE) THEN 'IMPROBABLE_MATCH' ELSE 'NO_MATCH' END WHEN a_better > 0 AND b_better > 0 THEN 'DISJOINT_MATCH' WHEN b_better > 0 THEN 'B_IS_SUPERSET' WHEN a_better > 0 THEN 'A_IS_SUPERSET' ELSE 'IDENTICAL' END AS verdict FROM c"""
+
+
+@query(_COMPARED)
+def compare_records(spark, d):
+    lines = _lines(spark, d)
+    found = _elements(lines, "l_orderkey", "level", [("coordinates", "Line", "level"), ("parameters", "Flag", "l_returnflag"), ("parameters", "Tax", "l_tax")])
+    keys = lines.select(F.col("l_orderkey").cast("long").alias("pair_id")).distinct()
+    pairs = keys.join(keys.select(F.col("pair_id").alias("b")), F.col("b") == F.col("pair_id") + 1).select("pair_id", F.col("pair_id").alias("a"), "b")
+    return compare.verdicts(pairs, found).select("pair_id", "identical", "a_better", "b_better", "conflict", "verdict")
+
+
+@query(f"""WITH d AS (SELECT l_orderkey AS record_id, level AS level_idx, l_quantity AS depth, l_discount AS t, coalesce(l_quantity < lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY level), false) AS back FROM {_LINES})
+  SELECT record_id, level_idx, 'not_increasing' AS code FROM d WHERE back UNION ALL SELECT record_id, level_idx, 'outside_envelope' FROM d WHERE NOT back AND depth > 10 AND depth <= 40 AND NOT (t BETWEEN 0.02 AND 0.08)""")
+def suite_run(spark, d):
+    found = _elements(_lines(spark, d), "l_orderkey", "level", [("coordinates", "Depth", "l_quantity"), ("parameters", "Temperature", "l_discount")])
+    order = [suites.Suite("increasing", suites.increasing()), suites.Suite("envelope", suites.envelopes([("Temperature", 10, 40, 0.02, 0.08)]))]
+    return suites.run(found, order)[1].select("record_id", "level_idx", "code")
+
+
+@query(f"""WITH f AS (SELECT event_id, CAST(floor(lat) AS BIGINT) AS a, CAST(floor(lon) AS BIGINT) AS b, value FROM ({_FIXES})), g AS (SELECT a, b, min(value) AS low, max(value) AS high FROM f GROUP BY 1, 2)
+  SELECT event_id, min(low) AS low, max(high) AS high, count(*) AS n_cells FROM f JOIN g ON g.a BETWEEN f.a - 1 AND f.a + 1 AND g.b BETWEEN f.b - 1 AND f.b + 1 GROUP BY 1""")
+def cell_grid_join(spark, d):
+    fixes = _fixes(spark, d).select("event_id", geo.cell(F.col("lat"), 1).alias("cell_lat"), geo.cell(F.col("lon"), 1).alias("cell_lon"), "value")
+    grid = fixes.groupBy("cell_lat", "cell_lon").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    near = fixes.withColumn("cell_lat", F.explode(F.sequence(F.col("cell_lat") - 1, F.col("cell_lat") + 1))).withColumn("cell_lon", F.explode(F.sequence(F.col("cell_lon") - 1, F.col("cell_lon") + 1)))
+    return near.join(grid, ["cell_lat", "cell_lon"]).groupBy("event_id").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("n_cells"))
+
+
+@query("SELECT user_id, md5(concat_ws(chr(31), CASE WHEN user_id % 3 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END, coalesce(names, '?'))) AS group_key FROM (SELECT user_id, string_agg(DISTINCT event_type, chr(31) ORDER BY event_type) AS names FROM events GROUP BY 1)")
+def group_key(spark, d):
+    names = F.array_join(F.array_sort(F.collect_set("event_type")), "\x1f")
+    per = _t(spark, d, "events").groupBy("user_id").agg(names.alias("names"))
+    return per.select("user_id", F.md5(F.concat_ws("\x1f", F.when(F.col("user_id") % 3 != 0, F.col("user_id").cast("string")), F.coalesce("names", F.lit("?")))).alias("group_key"))
+
+
+@query("SELECT o_custkey, max(CASE o_orderstatus WHEN 'P' THEN 2 WHEN 'F' THEN 1 ELSE 0 END) AS outcome_rank, count(*) FILTER (o_orderstatus = 'P') AS n_review FROM orders GROUP BY 1")
+def batch_outcome(spark, d):
+    rank = F.when(F.col("o_orderstatus") == "P", 2).when(F.col("o_orderstatus") == "F", 1).otherwise(0)
+    return _t(spark, d, "orders").groupBy("o_custkey").agg(F.max(rank).alias("outcome_rank"), F.count(F.when(F.col("o_orderstatus") == "P", 1)).alias("n_review"))
+
+
+@query("SELECT c_custkey, coalesce(map {'building': 'construction', 'machinery': 'plant'}[lower(c_mktsegment)], c_mktsegment) AS segment FROM customer")
+def value_map(spark, d):
+    known = F.create_map(F.lit("building"), F.lit("construction"), F.lit("machinery"), F.lit("plant"))
+    return _t(spark, d, "customer").select("c_custkey", F.coalesce(F.try_element_at(known, F.lower("c_mktsegment")), "c_mktsegment").alias("segment"))
+
+
+@query("""SELECT user_id, count(*) AS n_sessions, max(n) AS longest FROM (SELECT user_id, s, count(*) AS n FROM (SELECT user_id, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM
+  (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) < 3600000000 THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY 1, 2) GROUP BY 1""")
+def session_counts(spark, d):
+    per = _t(spark, d, "events").groupBy("user_id", F.session_window("ts", "1 hour")).agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_sessions"), F.max("n").alias("longest"))
