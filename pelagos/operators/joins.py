@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
+from ..session import cut
 
 
 def identify(records: DataFrame, known: DataFrame, identifiers: list[str], record_key: str, known_key: str, at: str | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
@@ -30,12 +31,13 @@ def classify(records: DataFrame, matches: DataFrame, record_key: str, known_key:
 
 def terminal(links: DataFrame, key: str, to: str) -> DataFrame:
     """(key, terminal): where following ``to`` ends. Pointers double each round; a cycle ends where the rounds do."""
-    out = links.select(F.col(key).alias("k"), F.col(to).alias("t"))
-    rounds = max(1, out.count()).bit_length()
-    for _ in range(rounds):
-        step = out.select(F.col("k").alias("k2"), F.col("t").alias("t2"))
-        out = out.join(step, out.t == step.k2, "left").select("k", F.coalesce("t2", "t").alias("t"))
-        if not out.join(out.select(F.col("k").alias("k2"), F.col("t").alias("t2")).where("t2 is not null"), F.col("t") == F.col("k2")).limit(1).count():
+    out = cut(links.select(F.col(key).alias("k"), F.col(to).alias("t")))
+    for _ in range(max(1, out.count()).bit_length()):
+        step = out.where("t is not null").select(F.col("k").alias("k2"), F.col("t").alias("t2"))
+        moved = out.join(step, out.t == step.k2, "left").select("k", F.coalesce("t2", "t").alias("t"), F.col("t2").isNotNull().alias("moved"))
+        moved = cut(moved)
+        out = moved.select("k", "t")
+        if moved.where("moved").isEmpty():
             break
     return out.select(F.col("k").alias(key), F.coalesce("t", "k").alias("terminal"))
 
