@@ -1,12 +1,14 @@
 """The corpus pipeline on small fixtures: its stages against brute force, edge rows, empty tables, clashing columns."""
 
+import itertools
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from pelagos.llm import exact_dedup, packing, pieces, pii, quality, simhash, toxicity, url_filter
+from pelagos.llm import exact_dedup, near_dedup, packing, pieces, pii, quality, simhash, toxicity, url_filter
 from pelagos.llm import embedding_dedup
 from test_llm import EDGE
 
@@ -79,3 +81,31 @@ def test_clashing_columns_of_vectors_and_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.net/", "x", "y", "z"), (1, "http://a.net/", "x", "y", "z"), (None, None, None, None, None)], "page_id long, url string, rule string, verdict string, path string")
     assert sorted((r.page_id is None, r.verdict, r.rule) for r in url_filter.judge(pages, url_filter.rules_table(spark)).collect()) == [(False, "block", "net/"), (False, "block", "net/"), (True, "allow", None)]
     assert url_filter.judge(pages.limit(0), url_filter.rules_table(spark)).count() == 0
+
+
+def test_near_copies_match_exact_similarity(spark):
+    draw = np.random.default_rng(5)
+    texts = []
+    for _ in range(30):
+        words = [f"w{k}" for k in draw.integers(0, 5000, int(draw.integers(30, 400)))]
+        texts.append(words)
+        for share in (0.002, 0.01, 0.03, 0.08):
+            texts.append([f"e{k}" if draw.random() < share else w for k, w in enumerate(words)])
+    texts += [[], [" "], ["one", "two"], ["One", "Two"], ["one", "three"]]
+    rows = [(i, " ".join(t), None, None, None) for i, t in enumerate(texts)]
+    sets = [{tuple(w.lower() for w in t[k : k + 5]) for k in range(max(1, len(t) - 4))} for t in (r[1].split() for r in rows)]
+    root = list(range(len(sets)))
+    for a, b in itertools.combinations(root[:], 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == sorted(set(root))
+    assert sorted(r.doc_id for r in near_dedup.first_of_near(docs, tile=2).collect()) == sorted(set(root))
+
+
+def test_near_copies_keep_rows(spark):
+    text = " ".join(f"w{k}" for k in range(100))
+    rows = [(3, text), (5, text + " x"), (5, "other"), (5, "other"), (None, "alone"), (None, text), (None, "lone pair a"), (None, "lone  pair A")]
+    got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame([(*r, None, None, None) for r in rows], DOCUMENTS), "").collect()
+    assert sorted((r.doc_id or 0, r.text.lower().split()) for r in got) == sorted([(3, text.split()), (5, ["other"]), (0, ["alone"]), (0, ["lone", "pair", "a"])])
