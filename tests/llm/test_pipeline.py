@@ -109,3 +109,20 @@ def test_near_copies_keep_rows(spark):
     rows = [(3, text), (5, text + " x"), (5, "other"), (5, "other"), (None, "alone"), (None, text), (None, "lone pair a"), (None, "lone  pair A")]
     got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame([(*r, None, None, None) for r in rows], DOCUMENTS), "").collect()
     assert sorted((r.doc_id or 0, r.text.lower().split()) for r in got) == sorted([(3, text.split()), (5, ["other"]), (0, ["alone"]), (0, ["lone", "pair", "a"])])
+
+
+def test_copies_keep_rows(spark):
+    rows = [(3, "A"), (5, "A"), (5, "B"), (5, "B"), (None, "alone"), (None, "B"), (None, "two"), (None, "two"), (7, None), (7, "")]
+    docs = spark.createDataFrame([(*r, None, None, None) for r in rows], DOCUMENTS)
+    want = [(0, "alone"), (0, "two"), (3, "A"), (5, "B"), (7, "")]
+    got = corpus_pipeline.drop_copies(spark, docs, "")
+    assert sorted((r.doc_id or 0, r.text or "") for r in got.collect()) == want
+    assert sorted((r.doc_id or 0, r.text or "") for r in corpus_pipeline.drop_near_copies(spark, got, "").collect()) == want
+
+
+def test_run_keeps_rows_without_id_and_no_repeats(spark, tmp_path):
+    texts = {i: f"the quiet harbour number {i} " + " ".join(f"w{i}x{k}" for k in range(20)) for i in range(6)}
+    rows = [(1, texts[0]), (1, texts[0]), (2, texts[1]), (2, texts[2]), (3, texts[2]), (None, texts[3]), (None, texts[4]), (None, texts[0])]
+    folder = write(spark, tmp_path / "in", [(*r, None, None, None) for r in rows])
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert sorted(r.doc_id or 0 for r in got) == [0, 0, 1, 2, 2]
