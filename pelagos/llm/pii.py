@@ -9,6 +9,7 @@ and the surrogate takes the value's own case and separators. ``collisions`` chec
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -40,16 +41,22 @@ _HEX = "0123456789abcdef"
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _WORD = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
-_CAP = rf"(?=[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫА-ЯЁ]){_WORD}"
+_UPPER = "[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫА-ЯЁ]"
+#: A word of a name; a possessive s is no part of it.
+_CAP = rf"(?={_UPPER})[^\W\d_]+(?:[-'’](?!s\b)[^\W\d_]+)*"
+_PARTICLES = "von vom van der den ter zu zur de del della di da do dos das du la las le los y e i bin ibn al el".split()
+_SMALL = rf"(?:(?:{'|'.join(_PARTICLES)}) )*"
+_MORE = rf" {_SMALL}(?:{_UPPER}\.(?= )|{_CAP})"
 _SECRET = re.compile(r"""\b(?:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|passwd|password)\b["']?\s*[=:]\s*["']?(?P<v>[^\s"',;]{6,})""", re.I)
 _MAIL = re.compile(r"(?<![\w.+-])\w(?:[\w.+-]*\w)?@\w[\w-]*(?:\.\w[\w-]*)+")
 _IP = re.compile(rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\w)")
 _CARD = re.compile(r"(?<![\w.-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{13,19})(?![\w-])")
 _PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[-. ]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\w)")
 _NATIONAL = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
-_PERSON = re.compile(rf"\b(?:{'|'.join(_TITLES)})\b\.? (?P<a>{_CAP}(?: {_CAP})?)|\b(?P<b>(?:{'|'.join(n for ns in NAMES.values() for n in ns)}) {_CAP})")
+_TITLE, _LISTED = "|".join(_TITLES), "|".join(n for ns in NAMES.values() for n in ns)
+_PERSON = re.compile(rf"\b(?:{_TITLE})\b\.?(?: (?:{_TITLE})\b\.?)* (?P<a>{_SMALL}(?:{_UPPER}\.(?= )|{_CAP})(?:{_MORE})*)|\b(?P<b>(?:{_LISTED})(?:-{_CAP})?(?:{_MORE})+)")
 _HINT = re.compile(r"token|key|secret|passw", re.I)
-_TITLE_HINT = re.compile("|".join(f"{t}" for t in _TITLES) + "|" + "|".join(n for ns in NAMES.values() for n in ns))
+_TITLE_HINT = re.compile(f"{_TITLE}|{_LISTED}")
 
 
 def find(text: str) -> list[tuple[str, int, int]]:
@@ -70,6 +77,13 @@ def find(text: str) -> list[tuple[str, int, int]]:
         if all(b <= x or a >= y for x, y in taken):
             taken.append((a, b))
             out.append((kind, a, b))
+    # Words of the names found stand for the same persons elsewhere in the text.
+    if words := {w for k, a, b in out if k == "person" for w in re.split("[ -]", text[a:b]) if len(w) > 2 and w[0].isupper()}:
+        taken.sort()
+        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(words, key=len, reverse=True)))})(?!\w)", text):
+            at = bisect_left(taken, (m.end(), 0))
+            if not at or taken[at - 1][1] <= m.start():
+                out.append(("person", *m.span()))
     return sorted(out, key=lambda e: e[1])
 
 
@@ -177,9 +191,9 @@ def _given(name: str, key: bytes) -> str:
         names = NAMES[group]
         at = [n.casefold() for n in names].index(low)
         return names[permute(at, len(names), key, "given" + "".join(group))]
-    out = _letters(_lower(name), key, "given")
+    out = _letters(_lower(name), key, "name")
     while out.casefold() in _GIVEN:  # a listed name is some other name's surrogate
-        out = _letters(out, key, "given")
+        out = _letters(out, key, "name")
     return _cased(name, out)
 
 
@@ -188,7 +202,7 @@ def surrogate(kind: str, value: str, key: bytes = KEY) -> str:
     """The value's replacement: of the same type and format, another one, and the same wherever the value occurs.
 
     Persons: listed given names become others of the same gender and script, other names others with letters of the same
-    kinds; a name on its own is taken for a family name. Emails keep what follows the last dot. Phone numbers keep the
+    kinds, word by word, so that parts of a name agree with it; particles stay. Emails keep what follows the last dot. Phone numbers keep the
     country code, cards their first digit and whether their check digit is right, addresses their private network.
     """
     if kind == "ip":
@@ -211,9 +225,7 @@ def surrogate(kind: str, value: str, key: bytes = KEY) -> str:
         rest, dot, last = host.rpartition(".")
         return _cased(value, f"{_letters(name, key, 'mail')}@{_letters(rest, key, 'host')}{dot}{last}")
     if kind == "person":
-        *given, family = value.split(" ")
-        new = [_given(g, key) for g in given]
-        return " ".join([*new, _given(family, key) if not given and family.casefold() in _GIVEN else _cased(family, _letters(_lower(family), key, "family"))])
+        return "".join(w if w in _PARTICLES else _given(w, key) for w in re.split("([ -])", value))
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value):
         hexed = _letters(value.lower(), key, "hex", dict.fromkeys(_HEX, _HEX))
         return hexed.upper() if value != value.lower() else hexed

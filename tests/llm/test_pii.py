@@ -1,0 +1,32 @@
+"""Names of several words, later mentions of them, layouts of one number, and the check for collisions."""
+
+import pytest
+
+from pelagos.llm import pii
+
+
+@pytest.mark.parametrize("text, hidden", [
+    ("See Dr. Anna Maria Schmidt today", "Anna Maria Schmidt"),
+    ("so Anna Maria Schmidt said", "Anna Maria Schmidt"),
+    ("El Señor Juan Carlos García vino", "Juan Carlos García"),
+    ("Prof. Dr. J. R. Beck spoke", "J. R. Beck"),
+    ("Herr Karl von der Heide kam", "Karl von der Heide"),
+    ("by Anna-Lena Vogt alone", "Anna-Lena Vogt"),
+])
+def test_whole_names(text, hidden):
+    [(kind, a, b)] = pii.find(text)
+    assert (kind, text[a:b]) == ("person", hidden)
+    new = pii.replaced(text)[0]
+    assert not any(w in new.split() for w in hidden.split() if len(w) > 2 and w[0].isupper())
+
+
+def test_gender_of_every_listed_name():
+    new = pii.surrogate("person", "Anna Maria Schmidt").split()
+    assert set(new[:2]) <= set(pii.NAMES["female", "latin"])
+
+
+def test_later_mentions():
+    text = "Dr. Anna Maria Schmidt came. Schmidt said so; Schmidt's boat, and Maria left. Dr. Schmidt's car."
+    new = pii.replaced(text)[0]
+    first, middle, last = pii.surrogate("person", "Anna Maria Schmidt").split()
+    assert new == f"Dr. {first} {middle} {last} came. {last} said so; {last}'s boat, and {middle} left. Dr. {last}'s car."
