@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, texts
+from .common import arrow, save
 
 KEY = b"pelagos surrogate key"
 
@@ -197,6 +197,21 @@ def _given(name: str, key: bytes) -> str:
     return _cased(name, out)
 
 
+#: Country codes of two digits; 1 and 7 have one, all others three.
+_TWO = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def _code(digits: str) -> int:
+    return 1 if digits[0] in "17" else 2 if digits[:2] in _TWO else 3
+
+
+def canonical(kind: str, value: str) -> str:
+    """What is equal for all layouts of a value. A phone number without a country code has the ten digits of code 1."""
+    if kind in ("card", "phone", "national_id"):
+        return ("" if kind != "phone" or value.startswith("+") else "1") + _numbers(value)
+    return _lower(value) if kind in ("email", "person") else value
+
+
 @lru_cache(maxsize=50_000)
 def surrogate(kind: str, value: str, key: bytes = KEY) -> str:
     """The value's replacement: of the same type and format, another one, and the same wherever the value occurs.
@@ -213,12 +228,10 @@ def surrogate(kind: str, value: str, key: bytes = KEY) -> str:
         body = d[0] + f"{permute(int(d[1:-1]), 10 ** (len(d) - 2), key, f'card{d[0]}{len(d)}{off}'):0{len(d) - 2}d}"
         return _relaid(value, body + str((_luhn(body) + off) % 10))
     if kind in ("phone", "national_id"):
-        d = _numbers(value)
-        keep = len(re.match(r"\+(\d{1,3})", value)[1]) if value.startswith("+") else 0
-        if keep and re.match(r"\+\d{3}\d", value):
-            keep = 1
-        new = f"{permute(int(d[keep:]), 10 ** (len(d) - keep), key, f'{kind}{d[:keep]}/{len(d)}'):0{len(d) - keep}d}"
-        return _relaid(value, d[:keep] + new)
+        d = canonical(kind, value)
+        keep = _code(d) if kind == "phone" else 0
+        new = d[:keep] + f"{permute(int(d[keep:]), 10 ** (len(d) - keep), key, f'{kind}{d[:keep]}/{len(d)}'):0{len(d) - keep}d}"
+        return _relaid(value, new[len(d) - len(_numbers(value)) :])
     if kind == "email":
         low = _lower(value)
         name, _, host = low.rpartition("@")
@@ -227,10 +240,15 @@ def surrogate(kind: str, value: str, key: bytes = KEY) -> str:
     if kind == "person":
         return "".join(w if w in _PARTICLES else _given(w, key) for w in re.split("([ -])", value))
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value):
-        hexed = _letters(value.lower(), key, "hex", dict.fromkeys(_HEX, _HEX))
-        return hexed.upper() if value != value.lower() else hexed
+        upper, hexed = value != value.lower(), _letters(value.lower(), key, "hex", dict.fromkeys(_HEX, _HEX))
+        while upper and hexed.isdigit():  # digits alone are a lower-case value's
+            hexed = _letters(hexed, key, "hex", dict.fromkeys(_HEX, _HEX))
+        return hexed.upper() if upper else hexed
     plain = {c: k for k in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in k}
-    return _letters(value, key, kind, plain)
+    out = _letters(value, key, kind, plain)
+    while re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", out):  # a hexadecimal value's
+        out = _letters(out, key, kind, plain)
+    return out
 
 
 def replaced(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int, int, int, int]]]:
@@ -249,35 +267,58 @@ def replaced(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int, int
 _ENTITY = "entities array<struct<type:string,start:int,length:int,new_start:int,new_length:int>>"
 _FIELDS = pa.list_(pa.struct([("type", pa.string()), *((n, pa.int32()) for n in ("start", "length", "new_start", "new_length"))]))
 
+_PAIRS = pa.list_(pa.struct([("type", pa.string()), ("value", pa.binary()), ("surrogate", pa.string())]))
 
-def surrogates(docs: DataFrame, text_col: str = "text", key: bytes = KEY) -> DataFrame:
+
+def surrogates(docs: DataFrame, text_col: str = "text", key: bytes = KEY, pairs: str | None = None) -> DataFrame:
     """docs with text_col rewritten and a column ``entities`` (one of that name is replaced); every row and column stays.
 
     Null texts stay null and have no entities. Whole texts are read. Nothing is shuffled: a value's surrogate depends on
-    the key and the value alone, so copies and repeated mentions agree wherever they are.
+    the key and the value alone, so copies and repeated mentions agree wherever they are. ``pairs`` names a column to add:
+    (type, digest of the canonical value, canonical surrogate) of what was replaced.
     """
     arrow(docs.sparkSession)
     docs = docs.drop("entities")
-    at, schema = docs.columns.index(text_col), ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + f", {_ENTITY}"
+    at, schema = docs.columns.index(text_col), ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + f", {_ENTITY}" + (f", `{pairs}` array<struct<type:string,value:binary,surrogate:string>>" if pairs else "")
+
+    def pair(old: str, new: str, kind: str, a: int, n: int, b: int, m: int) -> dict:
+        value = canonical(kind, old[a : a + n]).encode("utf-8", "replace")
+        return {"type": kind, "value": blake2b(value, key=key[:64], digest_size=16).digest(), "surrogate": canonical(kind, new[b : b + m])}
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
             made = [(None, []) if t is None else replaced(t, key) for t in batch.column(at).to_pylist()]
-            columns = list(batch.columns)
+            columns, old, names = list(batch.columns), batch.column(at).to_pylist(), [*batch.schema.names, "entities"]
             columns[at] = pa.array([m[0] for m in made], pa.string())
             spans = pa.array([[dict(zip(("type", "start", "length", "new_start", "new_length"), s)) for s in m[1]] for m in made], _FIELDS)
-            yield pa.RecordBatch.from_arrays([*columns, spans], names=[*batch.schema.names, "entities"])
+            columns.append(spans)
+            if pairs:
+                columns.append(pa.array([[pair(t, m[0], *s) for s in m[1]] for t, m in zip(old, made)], _PAIRS))
+                names.append(pairs)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.mapInArrow(run, schema)
 
 
+def checked(docs: DataFrame, text_col: str = "text", key: bytes = KEY) -> DataFrame:
+    """``surrogates``, written; fails if one surrogate stands for several values anywhere in it.
+
+    Only (type, surrogate) and the least and greatest digest of its values are shuffled, combined before.
+    """
+    made = save(surrogates(docs, text_col, key, "_pairs"))
+    found = made.select(F.explode("_pairs").alias("p")).groupBy("p.type", "p.surrogate").agg(F.min("p.value").alias("a"), F.max("p.value").alias("z"))
+    if hits := found.where("a != z").groupBy("type").count().collect():
+        raise ValueError("surrogates of several values: " + ", ".join(f"{h['count']} of type {h['type']}" for h in hits))
+    return made.drop("_pairs")
+
+
 def collisions(before: DataFrame, after: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(type, surrogate, n_values) where one surrogate stands for several canonical values: none, if all is well.
 
     Values are compared as they are made canonical: without case for emails and persons, by digits for numbers.
     """
     joined = before.select(id_col, F.col(text_col).alias("old")).join(after.select(id_col, F.col(text_col).alias("new"), F.explode("entities").alias("e")), id_col)
-    plain = lambda c: F.when(F.col("e.type").isin("card", "phone", "national_id"), F.regexp_replace(c, r"\D", "")).when(F.col("e.type").isin("email", "person"), F.lower(c)).otherwise(c)
+    plain = lambda c: F.when(F.col("e.type").isin("card", "phone", "national_id"), F.concat(F.when((F.col("e.type") == "phone") & ~c.startswith("+"), "1").otherwise(""), F.regexp_replace(c, r"\D", ""))).when(F.col("e.type").isin("email", "person"), F.lower(c)).otherwise(c)
     pairs = joined.select(
         F.col("e.type").alias("type"), plain(F.substring("old", F.col("e.start") + 1, F.col("e.length"))).alias("value"), plain(F.substring("new", F.col("e.new_start") + 1, F.col("e.new_length"))).alias("surrogate")
     ).distinct()

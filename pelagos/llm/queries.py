@@ -17,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.surrogates(docs).withColumn("n_entities", F.size("entities"))
+    return pii.checked(docs).withColumn("n_entities", F.size("entities"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

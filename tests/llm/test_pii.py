@@ -30,3 +30,23 @@ def test_later_mentions():
     new = pii.replaced(text)[0]
     first, middle, last = pii.surrogate("person", "Anna Maria Schmidt").split()
     assert new == f"Dr. {first} {middle} {last} came. {last} said so; {last}'s boat, and {middle} left. Dr. {last}'s car."
+
+
+def test_layouts_of_a_number():
+    for layouts in (["+49 301234567", "+49301234567", "+49 30 1234567"], ["+1 (017) 555-7713", "(017) 555-7713", "017-555-7713"]):
+        made = {pii.canonical("phone", pii.surrogate("phone", v)) for v in layouts}
+        assert len(made) == 1 and made.pop()[: 2 if "49" in layouts[0] else 1] in ("49", "1")
+
+
+def test_kinds_of_secrets_stay_apart():
+    values = [f"{a}{b}{c}" for a in "0aAgG" for b in "1bBhH" for c in "2cC"]
+    assert len({pii.surrogate("secret", v) for v in values}) == len(values)
+
+
+def test_collisions_fail(spark, monkeypatch):
+    docs = spark.createDataFrame([(None, "Mail jo.81@mail7.example.com"), (1, "or jo.82@mail7.example.com"), (1, "no. JO.81@mail7.example.com"), (2, None)], "doc_id long, text string")
+    assert pii.checked(docs).count() == 4 and pii.checked(docs).columns == ["doc_id", "text", "entities"]
+    made = pii.surrogates(docs, pairs="_pairs").selectExpr("doc_id", "text", "entities", "transform(_pairs, p -> named_struct('type', p.type, 'value', p.value, 'surrogate', 'x')) AS _pairs")
+    monkeypatch.setattr(pii, "surrogates", lambda *a: made)
+    with pytest.raises(ValueError, match="1 of type email"):
+        pii.checked(docs)
