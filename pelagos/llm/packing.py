@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import arrow, batches, texts
+from .common import arrow, batches, save, texts
 
 WINDOW, END_ID, VOCABULARY = 2048, 1, "word_bpe_49k.json"
 #: Pieces that are packed together. A task holds no more of them; the next lot starts with no open window.
@@ -165,25 +165,36 @@ def pack(
     then to nothing (padded_to = sequence_tokens). Null and empty texts are the end id alone. Repeated rows are packed
     as often as they come. Null ids are kept. with_ids adds the pieces' ids (binary, little-endian unsigned 32-bit).
 
-    Nothing is shuffled: each task packs what it reads, in lots of at most ``lot`` pieces, so memory is bounded and a
-    repeated task makes the same sequences. A lot leaves few windows unfilled, whatever the size of the whole.
+    Pieces, not texts, are written and dealt into lots of at most about ``lot``, however the documents were partitioned: a
+    task packs one, so memory is bounded. A lot leaves few windows unfilled, whatever the size of the whole.
     """
     arrow(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     fields = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, padded_to long" + ", ids binary" * with_ids
 
-    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, held, tail = TaskContext.get().partitionId() << 36, [], int(end_id).to_bytes(4, "little")
-        schema = None
+    plain = fields[: fields.index(", sequence_id")] + ", ids binary" * with_ids
+
+    def shape(found: str, key: pa.DataType) -> pa.Schema:
+        return pa.schema([("id", key), *((f.split()[0], pa.binary() if "binary" in f else pa.int64()) for f in found.split(", "))])
+
+    def cut(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail = int(end_id).to_bytes(4, "little")
         for batch in found:
-            schema = schema or pa.schema([("id", batch.column("id").type), *((f.split()[0], pa.binary() if "binary" in f else pa.int64()) for f in fields.split(", "))])
+            held = []
             for key, ids in zip(batch.column("id").to_pylist(), encoder(vocabulary).encode(texts(batch))):
                 ids += tail
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     part = ids[4 * start : 4 * (start + window)]
                     held.append((key, start, len(part) // 4, zlib.crc32(part), total) + ((part,) if with_ids else ()))
-            while len(held) >= lot:
+            yield from batches(iter(held), shape(plain, batch.column("id").type))
+
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, held, schema = TaskContext.get().partitionId() << 36, [], None
+        for batch in found:
+            schema = schema or shape(fields, batch.column("id").type)
+            held += zip(*(c.to_pylist() for c in batch.columns))
+            while len(held) >= 2 * lot:
                 rows, used = place(held[:lot], first)
                 held = held[lot:]
                 yield from batches(rows, schema)
@@ -199,5 +210,6 @@ def pack(
         rows = (p[:5] + (first + w, o, f, q) + p[5:] for p, w, o, f, q in zip(held, where.tolist(), offset.tolist(), filled[where].tolist(), padded[where].tolist()))
         return rows, used
 
-    pieces = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInArrow(run, f"id {kind}, {fields}")
-    return pieces.withColumnRenamed("id", id_col)
+    pieces = save(docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInArrow(cut, f"id {kind}, {plain}"))
+    packed = pieces.repartition(max(1, -(-pieces.count() // lot))).mapInArrow(run, f"id {kind}, {fields}")
+    return packed.withColumnRenamed("id", id_col)

@@ -204,3 +204,9 @@ def test_toxic_words_with_gaps():
 def test_hashes_agree_with_duckdb(spark):
     r = exact_dedup.exact_groups(docs(spark)).where("doc_id = 4").first()
     assert r.text_sha256 == duckdb.sql("SELECT sha256('same text')").fetchall()[0][0]
+
+
+def test_packing_does_not_depend_on_partitions(spark):
+    rows = [(i, "word " * int(n), None) for i, n in enumerate(np.random.default_rng(7).integers(1, 120, 300))]
+    used = [packing.pack(docs(spark, rows).repartition(n), window=128).select("sequence_id").distinct().count() for n in (1, 60)]
+    assert used[1] <= used[0] + 1
