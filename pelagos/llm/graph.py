@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save
+from .common import Tables, save
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -17,23 +17,26 @@ def components(edges: DataFrame) -> DataFrame:
     Null ends and loops are ignored. An empty input gives an empty result.
     """
     pairs = edges.select("src", "dst").where("src is not null and dst is not null and src != dst")
-    both = save(pairs.union(pairs.select(F.col("dst"), F.col("src"))).toDF("src", "dst").distinct())
-    labels = save(both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("root")))
-    while True:
-        heard = (
-            both.join(labels, both.src == labels.node)
-            .groupBy(F.col("dst").alias("at"))
-            .agg(F.min("root").alias("heard"))
-        )
-        least = save(
-            labels.join(heard, labels.node == F.col("at"), "left").select(
-                "node", "root", F.least("root", F.coalesce("heard", "root")).alias("new")
+    with Tables() as t:
+        both = t.save(pairs.union(pairs.select(F.col("dst"), F.col("src"))).toDF("src", "dst").distinct())
+        labels = t.save(both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("root")))
+        while True:
+            heard = (
+                both.join(labels, both.src == labels.node)
+                .groupBy(F.col("dst").alias("at"))
+                .agg(F.min("root").alias("heard"))
             )
-        )
-        changed = least.where("new != root").limit(1).count()
-        if not changed:
-            return least.select("node", "root")
-        labels = save(_jump(save(_jump(least.select("node", F.col("new").alias("root"))))))
+            least = t.save(
+                labels.join(heard, labels.node == F.col("at"), "left").select(
+                    "node", "root", F.least("root", F.coalesce("heard", "root")).alias("new")
+                )
+            )
+            t.drop(labels)
+            if not least.where("new != root").limit(1).count():
+                return save(least.select("node", "root"))
+            once = t.save(_jump(least.select("node", F.col("new").alias("root"))))
+            labels = t.save(_jump(once))
+            t.drop(least, once)
 
 
 def _jump(labels: DataFrame) -> DataFrame:
