@@ -5,6 +5,9 @@ fingerprints are dealt into shards by each choice of ``parts - radius`` parts; e
 children are keyed by their integer Hamming distance to the parent and whose search follows only the edges within
 the radius. A tree for all fingerprints, broadcast, would mean collecting the fingerprints of all documents and work
 that grows with their square; shards keep every link (some choice of parts agrees) and grow with the input.
+
+A shard of more than ``full`` fingerprints is dealt again, by parts of the bits in which its members may still differ:
+two of them differ in at most ``radius`` bits of those, so some choice of the new parts agrees as well.
 """
 
 from __future__ import annotations
@@ -18,10 +21,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, save, texts
+from .common import Tables, arrow, save, texts
 from .graph import components
 
 SHINGLE, RADIUS, PARTS, SEED = 3, 2, 4, 42
+#: A shard with more fingerprints than this is dealt again.
+FULL = 2000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _LANES = np.uint64(0x0101010101010101)
 
@@ -128,25 +133,56 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, fp long").withColumnRenamed("id", id_col)
 
 
-def links(classes: DataFrame, radius: int = RADIUS, parts: int = PARTS) -> DataFrame:
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def _finer(mask: int, radius: int, parts: int) -> list[int]:
+    """Masks that also fix all but ``radius`` of ``parts`` parts of the bits that mask leaves free; none if these are too few."""
+    free = [b for b in range(64) if not mask >> b & 1]
+    if len(free) < parts:
+        return []
+    cuts = [len(free) * i // parts for i in range(parts + 1)]
+    bits = [sum(1 << b for b in free[a:z]) for a, z in zip(cuts, cuts[1:])]
+    return [mask | sum(chosen) for chosen in combinations(bits, parts - radius)]
+
+
+def shards(classes: DataFrame, radius: int, parts: int, full: int, t: Tables) -> DataFrame:
+    """(mask, shard, fp): each pair of fingerprints within the radius is in some shard, and no shard that can be dealt
+    again has more than ``full`` members. Only counts are gathered, combined before; full shards are few, and their
+    members are told by a join that adaptive execution splits."""
+    masks = _finer(0, radius, parts)
+    held = classes.select("fp", F.explode(F.array(*[F.lit(_signed(m)).cast("long") for m in masks])).alias("mask")).withColumn("shard", F.col("fp").bitwiseAND(F.col("mask")))
+    done: DataFrame | None = None
+    while finer := {m: found for m in masks if (found := _finer(m, radius, parts))}:
+        able = held.where(F.col("mask").isin([_signed(m) for m in finer]))
+        over = t.save(able.groupBy("mask", "shard").count().where(F.col("count") > full).select("mask", "shard"))
+        if not over.limit(1).count():
+            break
+        rest = held.join(over, ["mask", "shard"], "left_anti")
+        done = rest if done is None else done.unionByName(rest)
+        masks = [m for m in masks if m in finer]
+        known = F.create_map(*[x for m in masks for x in (F.lit(_signed(m)).cast("long"), F.array(*[F.lit(_signed(f)).cast("long") for f in finer[m]]))])
+        held = t.save(
+            held.join(over, ["mask", "shard"], "left_semi").select("fp", F.explode(known[F.col("mask")]).alias("mask")).withColumn("shard", F.col("fp").bitwiseAND(F.col("mask"))).distinct()
+        )
+        masks = sorted({f for m in masks for f in finer[m]})
+    return held if done is None else done.unionByName(held)
+
+
+def links(classes: DataFrame, t: Tables, radius: int = RADIUS, parts: int = PARTS, full: int = FULL) -> DataFrame:
     """(src, dst): links between distinct fingerprints that connect all that lie within the radius."""
-    bounds = [64 * i // parts for i in range(parts + 1)]
-    masks = []
-    for chosen in combinations(range(parts), parts - radius):
-        mask = sum(((1 << bounds[i + 1]) - 1) ^ ((1 << bounds[i]) - 1) for i in chosen)
-        masks.append(mask - (1 << 64) if mask >> 63 else mask)
-    keys = F.array(*[F.struct(F.lit(k).cast("byte").alias("choice"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("shard")) for k, m in enumerate(masks)])
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
         for batch in found:
-            choice, shard, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            mask, shard, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             if not len(fp):
                 continue
-            cuts = np.flatnonzero((choice[1:] != choice[:-1]) | (shard[1:] != shard[:-1])) + 1
+            cuts = np.flatnonzero((mask[1:] != mask[:-1]) | (shard[1:] != shard[:-1])) + 1
             edges: list[tuple[int, int]] = []
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(fp)]):
-                key = (choice[a], shard[a])
+                key = (mask[a], shard[a])
                 if key != at:
                     if len(held) > 1:
                         edges += shard_links(held, radius)
@@ -156,8 +192,7 @@ def links(classes: DataFrame, radius: int = RADIUS, parts: int = PARTS) -> DataF
         if len(held) > 1:
             yield _edges(shard_links(held, radius))
 
-    shards = classes.select("fp", F.explode(keys).alias("k")).select("k.choice", "k.shard", "fp")
-    dealt = shards.repartition("choice", "shard").sortWithinPartitions("choice", "shard", "fp")
+    dealt = shards(classes, radius, parts, full, t).select("mask", "shard", "fp").repartition("mask", "shard").sortWithinPartitions("mask", "shard", "fp")
     return dealt.mapInArrow(run, "src long, dst long").distinct()
 
 
@@ -167,7 +202,7 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, parts: int = PARTS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, parts: int = PARTS, full: int = FULL,
 ) -> DataFrame:
     """One row per row of docs: id_col, fingerprint (16 hex digits), component_id (the smallest id reachable).
 
@@ -177,9 +212,10 @@ def near_groups(
     Copies are one fingerprint before anything is linked (combined before the shuffle). Only fingerprints travel.
     """
     held = save(fingerprints(docs, id_col, text_col, shingle).withColumnRenamed(id_col, "id"))
-    classes = save(held.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = components(save(links(classes, radius, parts)))
-    placed = save(classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    ids = save(placed.groupBy("root").agg(F.min("least").alias("component_id")))
-    of = save(placed.join(ids, "root").select("fp", "component_id"))
+    with Tables() as t:
+        classes = t.save(held.groupBy("fp").agg(F.min("id").alias("least")))
+        roots = components(t.save(links(classes, t, radius, parts, full)))
+        placed = t.save(classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+        ids = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+        of = save(placed.join(ids, "root").select("fp", "component_id"))
     return held.join(of, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
