@@ -2,25 +2,37 @@
 
 A value's surrogate is an encryption of the value within its own format: a keyed permutation of all values of that
 type and format. So surrogates are distinct where values are, equal where values are, in every document and without
-looking anything up; none is its own value. Values that mean the same (case, separators) are first made canonical,
-and the surrogate takes the value's own case and separators. ``collisions`` checks what was written.
+looking anything up; none is its own value. Values that mean the same (case, separators, layouts) are first made
+canonical, and the surrogate takes the value's own case and separators. ``checked`` verifies what was written.
+
+Whoever has the key can undo the permutation: it is the caller's or the session's (``session_key``), never this file's.
 """
 
 from __future__ import annotations
 
+import ipaddress
 import re
-from bisect import bisect_left
+import secrets
+import unicodedata
+from bisect import bisect_left, insort
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow, save
 
-KEY = b"pelagos surrogate key"
+KEY_SETTING = "spark.pelagos.pii.key"
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The session's key for surrogates; without one, a new random key, so that separate runs don't agree."""
+    given = spark.conf.get(KEY_SETTING, None)
+    return given.encode() if given else secrets.token_bytes(32)
+
 
 #: Given names by (gender, script). A name is replaced by another one of its list.
 NAMES = {
@@ -31,27 +43,38 @@ NAMES = {
     ("female", "greek"): "Άννα Δήμητρα Ελένη Ιωάννα Κατερίνα Μαρία Σοφία Χριστίνα".split(),
     ("male", "greek"): "Αλέξανδρος Βασίλης Γιώργος Δημήτρης Κώστας Νίκος Παύλος Σταύρος".split(),
 }
+#: Family names; a name is replaced by another one of its list. Those that are not listed get letters of the same kinds.
+FAMILIES = "Smith Johnson Brown Miller Wilson Taylor Walker Schmidt Müller Fischer Weber Meyer Wagner Becker Hoffmann Schulz Koch Bauer Richter Dupont Dubois Moreau Laurent Lefebvre Leroy García López Martínez Sánchez Pérez Rossi Ferrari Bianchi Romano Nowak Kowalski Novák Jansen Visser Larsen".split()
+#: Endings that tell the gender of a family name, and stay. None ends in another one.
+_ENDINGS = ("ова", "ева", "ёва", "ина", "ына", "ская", "цкая", "ов", "ев", "ёв", "ин", "ын", "ский", "цкий")
 _TITLES = ("Mr Mrs Ms Miss Dr Prof Herr Frau Señor Señora Sr Sra Monsieur Madame Mme Mlle Господин Госпожа Κύριος Κυρία").split()
-_GIVEN = {name.casefold(): group for group, names in NAMES.items() for name in names}
+_LISTS = NAMES | {("family", "latin"): FAMILIES}
+_KNOWN = {name.lower(): group for group, names in _LISTS.items() for name in names}
 
-#: Letters that stand for each other, by kind: a letter's surrogate is of its own kind. Others stay as they are.
+#: Letters that stand for each other, by kind: a letter's surrogate is of its own kind. ``_alike`` has the others.
 _KINDS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "àáâäãåèéêëìíîïòóôöõùúûü", "çñß", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "άέήίόύώ"]
 _KIND = {c: k for k in _KINDS for c in k}
 _HEX = "0123456789abcdef"
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _WORD = r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
-_UPPER = "[A-ZÀ-ÖØ-ÞΆ-ΏΑ-ΫА-ЯЁ]"
+_UPPER = "[" + "".join(c for c in map(chr, range(0x2000)) if c.isupper()) + "]"
 #: A word of a name; a possessive s is no part of it.
 _CAP = rf"(?={_UPPER})[^\W\d_]+(?:[-'’](?!s\b)[^\W\d_]+)*"
 _PARTICLES = "von vom van der den ter zu zur de del della di da do dos das du la las le los y e i bin ibn al el".split()
 _SMALL = rf"(?:(?:{'|'.join(_PARTICLES)}) )*"
 _MORE = rf" {_SMALL}(?:{_UPPER}\.(?= )|{_CAP})"
 _SECRET = re.compile(r"""\b(?:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|passwd|password)\b["']?\s*[=:]\s*["']?(?P<v>[^\s"',;]{6,})""", re.I)
+_TOKEN_PREFIX = re.compile(r"AKIA|ASIA|gh[pousr]_|xox[abprs]-|sk-|glpat-")
+_TOKEN = re.compile(r"(?<![\w-])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk-[A-Za-z0-9]{20,}|glpat-[\w-]{20,})(?!\w)", re.A)
+_PEM = re.compile(r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----(?P<v>[A-Za-z0-9+/=\s]+)-----END")
+_IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")
+_IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
+_AMERICAN = re.compile(r"\(\d{3}\) ?\d{3}[-. ]\d{4}|\d{3}[-.]\d{3}[-.]\d{4}")
 _MAIL = re.compile(r"(?<![\w.+-])\w(?:[\w.+-]*\w)?@\w[\w-]*(?:\.\w[\w-]*)+")
 _IP = re.compile(rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\w)")
 _CARD = re.compile(r"(?<![\w.-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{13,19})(?![\w-])")
-_PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[-. ]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\w)")
+_PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}|(?<!\d[ /])0\d{2,4}[ /]\d{3,4}[ -]?\d{2,4}|\(\d{3}\) ?\d{3}[-. ]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\w)")
 _NATIONAL = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 _TITLE, _LISTED = "|".join(_TITLES), "|".join(n for ns in NAMES.values() for n in ns)
 _PERSON = re.compile(rf"\b(?:{_TITLE})\b\.?(?: (?:{_TITLE})\b\.?)* (?P<a>{_SMALL}(?:{_UPPER}\.(?= )|{_CAP})(?:{_MORE})*)|\b(?P<b>(?:{_LISTED})(?:-{_CAP})?(?:{_MORE})+)")
@@ -59,31 +82,57 @@ _HINT = re.compile(r"token|key|secret|passw", re.I)
 _TITLE_HINT = re.compile(f"{_TITLE}|{_LISTED}")
 
 
+def _is_ipv6(value: str) -> bool:
+    """An address, and not some words joined by colons."""
+    if sum(map(bool, value.split(":"))) < 3 and not value.lower().startswith(("fe80:", "2001:")):
+        return False
+    try:
+        return bool(ipaddress.IPv6Address(value))
+    except ValueError:
+        return False
+
+
+def _remainder(iban: str) -> int:
+    """Modulo 97 of the number that an IBAN's letters and digits make, its first four signs last."""
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
 def find(text: str) -> list[tuple[str, int, int]]:
     """(type, start, end) of the entities of a whole text, in order, none overlapping; earlier types come first."""
     found: list[tuple[str, int, int]] = []
+    if "PRIVATE KEY" in text:
+        found += [("private_key", m.start("v"), m.end("v")) for m in _PEM.finditer(text)]
     if _HINT.search(text):
         found += [("secret", m.start("v"), m.end("v")) for m in _SECRET.finditer(text)]
+    if _TOKEN_PREFIX.search(text):
+        found += [("secret", *m.span()) for m in _TOKEN.finditer(text)]
     if "@" in text:
-        found += [("email", *m.span()) for m in _MAIL.finditer(text)]
+        found += [("email", *m.span()) for m in _MAIL.finditer(text) if any(map(str.isalnum, m[0].rpartition(".")[0]))]
+    if text.count(":") > 1:
+        found += [("ipv6", *m.span()) for m in _IPV6.finditer(text) if _is_ipv6(m[0])]
     if re.search(r"\d{2}|\d\.\d", text):
-        for kind, pattern in (("ip", _IP), ("card", _CARD), ("phone", _PHONE), ("national_id", _NATIONAL)):
+        found += [("ip", *m.span()) for m in _IP.finditer(text)]
+        found += [("iban", *m.span()) for m in _IBAN.finditer(text) if 15 <= len(v := m[0].replace(" ", "")) <= 34 and _remainder(v) == 1]
+        found += [("card", *m.span()) for m in _CARD.finditer(text) if _luhn((v := _numbers(m[0]))[:-1]) == int(v[-1])]
+        for kind, pattern in (("phone", _PHONE), ("national_id", _NATIONAL)):
             found += [(kind, *m.span()) for m in pattern.finditer(text)]
     if _TITLE_HINT.search(text):
         found += [("person", *m.span("a" if m["a"] else "b")) for m in _PERSON.finditer(text)]
     out: list[tuple[str, int, int]] = []
     taken: list[tuple[int, int]] = []
-    for kind, a, b in found:
-        if all(b <= x or a >= y for x, y in taken):
-            taken.append((a, b))
+
+    def take(kind: str, a: int, b: int) -> None:
+        at = bisect_left(taken, (b, 0))
+        if not at or taken[at - 1][1] <= a:
+            insort(taken, (a, b))
             out.append((kind, a, b))
+
+    for one in found:
+        take(*one)
     # Words of the names found stand for the same persons elsewhere in the text.
     if words := {w for k, a, b in out if k == "person" for w in re.split("[ -]", text[a:b]) if len(w) > 2 and w[0].isupper()}:
-        taken.sort()
         for m in re.finditer(rf"(?<!\w)(?:{'|'.join(map(re.escape, sorted(words, key=len, reverse=True)))})(?!\w)", text):
-            at = bisect_left(taken, (m.end(), 0))
-            if not at or taken[at - 1][1] <= m.start():
-                out.append(("person", *m.span()))
+            take("person", *m.span())
     return sorted(out, key=lambda e: e[1])
 
 
@@ -119,16 +168,54 @@ def permute(x: int, size: int, key: bytes, tweak: str) -> int:
     return _feistel((_feistel(x, size, key, t, False) + shift) % size, size, key, t, True)
 
 
-def _letters(canonical: str, key: bytes, tweak: str, kinds: dict[str, str] = _KIND) -> str:
-    """Another string of the same kinds of letters, place by place."""
+#: Characters of a value at most that are permuted as one number; longer ones go by parts.
+_PART = 256
+_SIGNS = "!#$%&()*+-./:<=>?@[\\]^_`{|}~"
+_PLAIN = {c: k for k in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in k}
+
+
+def _sort(c: str) -> tuple[str, bool, bool]:
+    """A character's category, whether it is in lower case already, and whether it comes back from upper case."""
+    return unicodedata.category(c), _lower(c) == c, len(c.upper()) == 1 and _lower(c.upper()) == c
+
+
+@cache
+def _alike(c: str, plain: bool) -> str:
+    """What may stand for a character that is in no table: its own sort among the 256 code points around it, or else what
+    is left of that sort in all of Unicode. Each member of such a set has the same set."""
+    tables, sort = (_PLAIN if plain else _KIND), _sort(c)
+
+    def around(x: int) -> list[str]:
+        return [y for y in map(chr, range(x & ~255, (x | 255) + 1)) if y not in tables and _sort(y) == sort]
+
+    if len(own := around(ord(c))) > 1:
+        return "".join(own)
+    lone = [y[0] for x in range(0, 0x110000, 256) if not 0xD800 <= x < 0xE000 and len(y := around(x)) == 1]
+    return "".join(lone) if c in lone else c
+
+
+def _kinds(value: str, plain: bool) -> list[str | None]:
+    """For each character those that may stand for it; none for signs, unless a plain value is nothing else."""
+    tables = _PLAIN if plain else _KIND
+    found = [tables.get(c) or (_alike(c, plain) if c.isalnum() else None) for c in value]
+    if plain and all(k is None or len(k) < 2 for k in found):
+        found = [_SIGNS if c in _SIGNS else None if c.isspace() or c in "\"',;" else _alike(c, plain) for c in value]
+    return found
+
+
+def _letters(canonical: str, key: bytes, tweak: str, plain: bool = False, kinds: list[str | None] | None = None) -> str:
+    """Another string of the same kinds of characters, place by place."""
+    kinds = kinds or _kinds(canonical, plain)
+    if len(canonical) > _PART:
+        return "".join(_letters(canonical[i : i + _PART], key, f"{tweak}/{i}", plain, kinds[i : i + _PART]) for i in range(0, len(canonical), _PART))
     x, size = 0, 1
-    for c in canonical:
-        if k := kinds.get(c):
+    for c, k in zip(canonical, kinds):
+        if k:
             x, size = x * len(k) + k.index(c), size * len(k)
-    pattern = "".join(kinds[c][0] if c in kinds else c for c in canonical)
+    pattern = "".join(k[0] if k else c for c, k in zip(canonical, kinds))
     x, out = permute(x, size, key, f"{tweak}\n{pattern}"), []
-    for c in reversed(canonical):
-        if k := kinds.get(c):
+    for c, k in zip(reversed(canonical), reversed(kinds)):
+        if k:
             x, i = divmod(x, len(k))
             out.append(k[i])
         else:
@@ -137,13 +224,12 @@ def _letters(canonical: str, key: bytes, tweak: str, kinds: dict[str, str] = _KI
 
 
 def _cased(like: str, letters: str) -> str:
-    out = "".join(n.upper() if o != o.lower() and len(n.upper()) == 1 else n for o, n in zip(like, letters))
-    return out if len(out) == len(like) else letters
+    return "".join(n.upper() if o != o.lower() and len(n.upper()) == 1 and n.upper().lower() == n else n for o, n in zip(like, letters))
 
 
 def _lower(value: str) -> str:
-    low = value.lower()
-    return low if len(low) == len(value) else value
+    """In lower case, letter by letter: one that would become several or not come back stays."""
+    return "".join(c.lower() if len(c.lower()) == 1 and c.lower().upper() == c else c for c in value)
 
 
 def _luhn(digits: str) -> int:
@@ -170,7 +256,17 @@ def _net(x: int) -> int:
     return next((i for i, (bits, base) in enumerate(_NETS) if x >> (32 - bits) == base >> (32 - bits)), -1)
 
 
+def _walked(x: int, size: int, key: bytes, tweak: str, same) -> int:
+    """A permutation of the numbers below size that are alike: permuted until the image is like x."""
+    kind = same(x)
+    x = permute(x, size, key, tweak)
+    while same(x) != kind:
+        x = permute(x, size, key, tweak)
+    return x
+
+
 def _address(value: str, key: bytes) -> str:
+    """Private networks stay, public addresses stay public, reserved ones reserved."""
     x = 0
     for part in value.split("."):
         x = x << 8 | int(part)
@@ -179,22 +275,57 @@ def _address(value: str, key: bytes) -> str:
         free = 32 - _NETS[net][0]
         x = (x >> free << free) | permute(x & ((1 << free) - 1), 1 << free, key, f"ip{net}")
     else:
-        x = permute(x, 1 << 32, key, "ip")
-        while _net(x) >= 0:
-            x = permute(x, 1 << 32, key, "ip")
+        x = _walked(x, 1 << 32, key, "ip", lambda y: (_net(y) >= 0, ipaddress.IPv4Address(y).is_global and y >> 28 < 14))
     return ".".join(str(x >> s & 255) for s in (24, 16, 8, 0))
 
 
-def _given(name: str, key: bytes) -> str:
-    low = name.casefold()
-    if group := _GIVEN.get(low):
-        names = NAMES[group]
-        at = [n.casefold() for n in names].index(low)
-        return names[permute(at, len(names), key, "given" + "".join(group))]
-    out = _letters(_lower(name), key, "name")
-    while out.casefold() in _GIVEN:  # a listed name is some other name's surrogate
-        out = _letters(out, key, "name")
-    return _cased(name, out)
+def _address6(value: str, key: bytes) -> str:
+    """Link-local addresses keep their network, unique local ones their first byte, those for documents theirs, public ones stay public; in the same notation."""
+    x = int(ipaddress.IPv6Address(value))
+    if x >> 118 == 0x3FA:
+        x = x >> 64 << 64 | permute(x & (1 << 64) - 1, 1 << 64, key, "ip6 link")
+    elif x >> 96 == 0x20010DB8:
+        x = x >> 96 << 96 | permute(x & (1 << 96) - 1, 1 << 96, key, "ip6 shown")
+    elif x >> 121 == 0x7E:
+        x = x >> 120 << 120 | permute(x & (1 << 120) - 1, 1 << 120, key, "ip6 local")
+    else:
+        x = _walked(x, 1 << 128, key, "ip6", lambda y: (y >> 118 == 0x3FA or y >> 121 == 0x7E or y >> 96 == 0x20010DB8, ipaddress.IPv6Address(y).is_global and y >> 125 == 1))
+    made = ipaddress.IPv6Address(x)
+    groups = value.split(":")
+    out = made.exploded if "" not in groups and all(len(g) == 4 for g in groups) else ":".join(f"{int(g, 16):x}" for g in made.exploded.split(":")) if "" not in groups else str(made)
+    return out.upper() if value.upper() == value != value.lower() else out
+
+
+def _iban(value: str, key: bytes) -> str:
+    """Of the same country and layout, with right check digits."""
+    plain = value.replace(" ", "")
+    body = _letters(plain[4:], key, f"iban{plain[:2]}", True)
+    it = iter(f"{plain[:2]}{98 - _remainder(plain[:2] + '00' + body):02d}{body}")
+    return "".join(c if c == " " else next(it) for c in value)
+
+
+@lru_cache(maxsize=50_000)
+def _word(name: str, key: bytes) -> str:
+    """A listed name becomes another of its list, others get letters of the same kinds; endings that tell a gender stay."""
+    low = _lower(name)
+
+    def one(x: str) -> str:
+        if group := _KNOWN.get(x):
+            names = _LISTS[group]
+            at = [n.lower() for n in names].index(x)
+            return names[permute(at, len(names), key, "given" + "".join(group))].lower()
+        end = next((e for e in _ENDINGS if x.endswith(e) and len(x) > len(e) + 1), "")
+        return _letters(x[: len(x) - len(end)], key, f"name{end}") + end
+
+    def kind(x: str) -> tuple:
+        return _KNOWN.get(x), next((e for e in _ENDINGS if x.endswith(e) and len(x) > len(e) + 1), "")
+
+    out = one(low)
+    while kind(out) != kind(low):  # it is some other name's surrogate
+        out = one(out)
+    if len(out) == len(name):
+        return _cased(name, out)
+    return out.upper() if name.isupper() else out.title() if name[0].isupper() else out
 
 
 #: Country codes of two digits; 1 and 7 have one, all others three.
@@ -202,26 +333,34 @@ _TWO = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55
 
 
 def _code(digits: str) -> int:
-    return 1 if digits[0] in "17" else 2 if digits[:2] in _TWO else 3
+    return 1 if digits[0] in "017" else 2 if digits[:2] in _TWO else 3
 
 
 def canonical(kind: str, value: str) -> str:
-    """What is equal for all layouts of a value. A phone number without a country code has the ten digits of code 1."""
+    """What is equal for all layouts of a value. American phone numbers have code 1; other ones without a code begin with 0."""
     if kind in ("card", "phone", "national_id"):
-        return ("" if kind != "phone" or value.startswith("+") else "1") + _numbers(value)
-    return _lower(value) if kind in ("email", "person") else value
+        return ("1" if kind == "phone" and _AMERICAN.fullmatch(value) else "") + _numbers(value)
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(value).exploded
+    return value.replace(" ", "") if kind == "iban" else _lower(value) if kind in ("person", "email") else value
 
 
 @lru_cache(maxsize=50_000)
-def surrogate(kind: str, value: str, key: bytes = KEY) -> str:
+def surrogate(kind: str, value: str, key: bytes) -> str:
     """The value's replacement: of the same type and format, another one, and the same wherever the value occurs.
 
-    Persons: listed given names become others of the same gender and script, other names others with letters of the same
-    kinds, word by word, so that parts of a name agree with it; particles stay. Emails keep what follows the last dot. Phone numbers keep the
-    country code, cards their first digit and whether their check digit is right, addresses their private network.
+    Persons: listed given names become others of the same gender and script, listed family names others of the list, the
+    rest names with letters of the same kinds, word by word, so that parts of a name agree with it; particles stay.
+    Emails keep what follows the last dot. Phone numbers keep the country code, cards their first digit and a right check
+    digit, addresses their network's kind, bank accounts their country, tokens their prefix. Letters of any
+    script become letters of that script; a value of nothing but signs gets other signs.
     """
     if kind == "ip":
         return _address(value, key)
+    if kind == "ipv6":
+        return _address6(value, key)
+    if kind == "iban":
+        return _iban(value, key)
     if kind == "card":
         d = _numbers(value)
         off = (int(d[-1]) - _luhn(d[:-1])) % 10
@@ -238,20 +377,27 @@ def surrogate(kind: str, value: str, key: bytes = KEY) -> str:
         rest, dot, last = host.rpartition(".")
         return _cased(value, f"{_letters(name, key, 'mail')}@{_letters(rest, key, 'host')}{dot}{last}")
     if kind == "person":
-        return "".join(w if w in _PARTICLES else _given(w, key) for w in re.split("([ -])", value))
+        return "".join(w if w in _PARTICLES else _word(w, key) for w in re.split("([ -])", value))
+    if kind == "secret" and (known := _TOKEN_PREFIX.match(value)) and known.end() < len(value):
+        return known[0] + _letters(value[known.end() :], key, f"secret{known[0]}", True)
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value):
-        upper, hexed = value != value.lower(), _letters(value.lower(), key, "hex", dict.fromkeys(_HEX, _HEX))
-        while upper and hexed.isdigit():  # digits alone are a lower-case value's
-            hexed = _letters(hexed, key, "hex", dict.fromkeys(_HEX, _HEX))
-        return hexed.upper() if upper else hexed
-    plain = {c: k for k in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in k}
-    out = _letters(value, key, kind, plain)
-    while re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", out):  # a hexadecimal value's
-        out = _letters(out, key, kind, plain)
+        hexed = _hexed(value.lower(), key)
+        if value == value.lower():
+            return hexed
+        while hexed.isdigit():  # digits alone are a lower-case value's
+            hexed = _hexed(hexed, key)
+        return hexed.upper()
+    out = _letters(value, key, kind, True)
+    while kind == "secret" and (re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", out) or ((known := _TOKEN_PREFIX.match(out)) and known.end() < len(out))):
+        out = _letters(out, key, kind, True)  # what it came to is some other kind's
     return out
 
 
-def replaced(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int, int, int, int]]]:
+def _hexed(value: str, key: bytes) -> str:
+    return _letters(value, key, "hex", True, [_HEX] * len(value))
+
+
+def replaced(text: str, key: bytes) -> tuple[str, list[tuple[str, int, int, int, int]]]:
     """(new text, entities): entities are (type, start, length, new start, new length), in characters."""
     out, spans, done, size = [], [], 0, 0
     for kind, a, b in find(text):
@@ -270,7 +416,7 @@ _FIELDS = pa.list_(pa.struct([("type", pa.string()), *((n, pa.int32()) for n in
 _PAIRS = pa.list_(pa.struct([("type", pa.string()), ("value", pa.binary()), ("surrogate", pa.string())]))
 
 
-def surrogates(docs: DataFrame, text_col: str = "text", key: bytes = KEY, pairs: str | None = None) -> DataFrame:
+def surrogates(docs: DataFrame, key: bytes, text_col: str = "text", pairs: str | None = None) -> DataFrame:
     """docs with text_col rewritten and a column ``entities`` (one of that name is replaced); every row and column stays.
 
     Null texts stay null and have no entities. Whole texts are read. Nothing is shuffled: a value's surrogate depends on
@@ -300,28 +446,19 @@ def surrogates(docs: DataFrame, text_col: str = "text", key: bytes = KEY, pairs:
     return docs.mapInArrow(run, schema)
 
 
-def checked(docs: DataFrame, text_col: str = "text", key: bytes = KEY) -> DataFrame:
-    """``surrogates``, written; fails if one surrogate stands for several values anywhere in it.
-
-    Only (type, surrogate) and the least and greatest digest of its values are shuffled, combined before.
-    """
-    made = save(surrogates(docs, text_col, key, "_pairs"))
-    found = made.select(F.explode("_pairs").alias("p")).groupBy("p.type", "p.surrogate").agg(F.min("p.value").alias("a"), F.max("p.value").alias("z"))
-    if hits := found.where("a != z").groupBy("type").count().collect():
-        raise ValueError("surrogates of several values: " + ", ".join(f"{h['count']} of type {h['type']}" for h in hits))
-    return made.drop("_pairs")
-
-
-def collisions(before: DataFrame, after: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(type, surrogate, n_values) where one surrogate stands for several canonical values: none, if all is well.
+def collisions(made: DataFrame, pairs: str = "_pairs") -> DataFrame:
+    """(type, surrogate) of surrogates that stand for several canonical values in a result of ``surrogates`` with ``pairs``.
 
-    Values are compared as they are made canonical: without case for emails and persons, by digits for numbers.
+    Rows are not joined: each brings its own pairs, so null and repeated ids don't matter. Only (type, surrogate) and the
+    least and greatest digest of its values are shuffled, combined before. No entities or no rows: none.
     """
-    joined = before.select(id_col, F.col(text_col).alias("old")).join(after.select(id_col, F.col(text_col).alias("new"), F.explode("entities").alias("e")), id_col)
-    plain = lambda c: F.when(F.col("e.type").isin("card", "phone", "national_id"), F.concat(F.when((F.col("e.type") == "phone") & ~c.startswith("+"), "1").otherwise(""), F.regexp_replace(c, r"\D", ""))).when(F.col("e.type").isin("email", "person"), F.lower(c)).otherwise(c)
-    pairs = joined.select(
-        F.col("e.type").alias("type"), plain(F.substring("old", F.col("e.start") + 1, F.col("e.length"))).alias("value"), plain(F.substring("new", F.col("e.new_start") + 1, F.col("e.new_length"))).alias("surrogate")
-    ).distinct()
-    return pairs.groupBy("type", "surrogate").agg(F.count(F.lit(1)).alias("n_values")).where("n_values > 1")
+    found = made.select(F.explode(pairs).alias("p")).groupBy("p.type", "p.surrogate").agg(F.min("p.value").alias("a"), F.max("p.value").alias("z"))
+    return found.where("a != z").select("type", "surrogate")
 
 
+def checked(docs: DataFrame, key: bytes | None = None, text_col: str = "text") -> DataFrame:
+    """``surrogates`` under the key (or the session's), written; fails if one surrogate stands for several values anywhere in it."""
+    made = save(surrogates(docs, key or session_key(docs.sparkSession), text_col, "_pairs"))
+    if hits := collisions(made).groupBy("type").count().collect():
+        raise ValueError("surrogates of several values: " + ", ".join(f"{h['count']} of type {h['type']}" for h in hits))
+    return made.drop("_pairs")
