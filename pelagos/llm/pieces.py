@@ -12,7 +12,6 @@ import re
 import zlib
 from collections.abc import Iterator
 from heapq import heappop, heappush, nsmallest
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ UNKNOWN = 10.0
 _PART = re.compile(f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n")
 REMEMBERED = 250_000
 #: Parts up to this length are solved together.
-_TOGETHER, _BASE = 32, np.uint64(1099511628211)
+_TOGETHER = 32
 
 
 class Pieces:
@@ -58,9 +57,7 @@ class Pieces:
         real = [s for _, s in self.piece.values() if s > -1e8]
         self.unknown = min(real, default=0.0) - UNKNOWN
         self.starts = {p[:k] for p in self.piece for k in range(1, len(p) + 1)}
-        order = sorted((int(self._hash(np.array([[ord(c) for c in p]], np.uint64))[0]), i, x) for p, (i, x) in self.piece.items())
-        self.hashes = np.array([o[0] for o in order], np.uint64)
-        self.ids, self.scores = np.array([o[1] for o in order], np.int64), np.array([o[2] for o in order])
+        self._trie()
         self.forget()
 
     def forget(self) -> None:
@@ -70,12 +67,42 @@ class Pieces:
         self.of: list[bytes] = []
         self.score, self.gap, self.width = (np.zeros(REMEMBERED + 1, t) for t in (float, float, np.int64))
 
-    @staticmethod
-    def _hash(codes: np.ndarray) -> np.ndarray:
-        h = np.zeros(len(codes), np.uint64)
-        for k in range(codes.shape[1]):
-            h = h * _BASE + codes[:, k] + np.uint64(1)
-        return h
+    def _trie(self) -> None:
+        """A trie of the pieces as a table of its steps: a step's key is the state that it leaves and the character, its slot
+        a mix of the key or one of the next. ``ends`` has the piece's id by state, or -1, ``worth`` its score."""
+        state = {"": 0}
+        for p in sorted(self.starts, key=lambda p: (len(p), p)):
+            state[p] = len(state)
+        self.ends, self.worth = np.full(len(state), -1), np.full(len(state), -np.inf)
+        for p, (i, x) in self.piece.items():
+            self.ends[state[p]], self.worth[state[p]] = i, x
+        slots = 1 << (8 * len(state)).bit_length()
+        self.mask = np.int64(slots - 1)
+        self.steps, self.next, self.tries = np.full(slots, -1), np.zeros(slots, np.int64), 1
+        for p, to in state.items():
+            if p:
+                key = state[p[:-1]] << 21 | ord(p[-1])
+                at, tried = int(self._slot(np.array([key]))[0]), 1
+                while self.steps[at] >= 0:
+                    at, tried = (at + 1) & int(self.mask), tried + 1
+                self.steps[at], self.next[at], self.tries = key, to, max(self.tries, tried)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        mixed = key * np.int64(0x2545F4914F6CDD1D)
+        return (mixed ^ mixed >> np.int64(32)) & self.mask
+
+    def _step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The next states; 0 where the trie has none."""
+        key = state << 21 | code
+        at = self._slot(key)
+        out = np.where(self.steps[at] == key, self.next[at], 0)
+        for k in range(1, self.tries):
+            left = np.flatnonzero((out == 0) & (self.steps[(at + k - 1) & self.mask] >= 0))
+            if not len(left):
+                break
+            more = (at[left] + k) & self.mask
+            out[left] = np.where(self.steps[more] == key[left], self.next[more], 0)
+        return out
 
     def lattice(self, part: str) -> tuple[list[list[tuple[int, object, float]]], list[float]]:
         """(edges by end, forward scores): an edge is (start, id or tuple of byte ids, score)."""
@@ -145,7 +172,7 @@ class Pieces:
         for part in new:
             groups.setdefault(len(part), []).append(part)
         for length, some in groups.items():
-            if length > _TOGETHER:
+            if length > _TOGETHER or not self.piece:
                 for part in some:
                     found = self.best(part, 2)
                     self._keep([part], [np.array(found[0][1], "<u4").tobytes()], [found[0][0]], [found[0][0] - found[1][0] if len(found) > 1 else np.inf])
@@ -162,43 +189,55 @@ class Pieces:
         self.score[a:b], self.gap[a:b], self.width[a:b] = score, gap, [len(i) for i in ids]
 
     def _together(self, parts: list[str], length: int) -> None:
-        codes = np.array([[ord(c) for c in p] for p in parts], np.uint64)
-        n, top = len(parts), len(self.hashes) - 1
-        edge: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+        """Scores by part, start and piece length, the longest first; then forward and backward over all parts at once."""
+        n, most = len(parts), min(length, self.longest)
+        codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length).astype(np.int64)
+        score = np.full((n, length + most, most), -np.inf)  # by end and most - piece length
+        ids = np.full((n, length + most, most), -1)
+        row, start = np.repeat(np.arange(n), length), np.tile(np.arange(length), n)
+        state = np.zeros(n * length, np.int64)
         strange = np.zeros(n, bool)
-        for i in range(length):
-            h = np.zeros(n, np.uint64)
-            for j in range(i + 1, min(length, i + self.longest) + 1):
-                h = h * _BASE + codes[:, j - 1] + np.uint64(1)
-                at = np.minimum(np.searchsorted(self.hashes, h), top)
-                hit = self.hashes[at] == h
-                if j == i + 1:
-                    strange |= ~hit
-                if hit.any():
-                    edge[i, j] = np.where(hit, self.scores[at], -np.inf), self.ids[at]
-        forward, from_ = np.full((length + 1, n), -np.inf), np.zeros((length + 1, n), np.int64)
-        backward = np.full((length + 1, n), -np.inf)
-        forward[0] = backward[length] = 0
-        for (i, j), (s, _) in sorted(edge.items(), key=lambda e: (e[0][1], e[0][0])):
-            better = forward[i] + s > forward[j]
-            forward[j][better], from_[j][better] = (forward[i] + s)[better], i
-        for (i, j), (s, _) in sorted(edge.items(), key=lambda e: -e[0][0]):
-            backward[i] = np.maximum(backward[i], backward[j] + s)
-        at, taken = np.full(n, length), np.full((n, length), -1, np.int64)
-        second = np.full(n, -1e300)
-        for j in range(length, 0, -1):
-            here = at == j
-            for i in range(max(0, j - self.longest), j):
-                if (i, j) not in edge:
-                    continue
-                s, ids = edge[i, j]
-                on = here & (from_[j] == i)
-                taken[on, i] = ids[on]
-                at[on] = i
-                second = np.maximum(second, np.where(on, -np.inf, forward[i] + s + backward[j]))
+        for k in range(1, most + 1):
+            inside = start + k <= length
+            row, start, state = row[inside], start[inside], state[inside]
+            state = self._step(state, codes[row, start + k - 1])
+            on = state > 0
+            if k == 1:
+                known = np.zeros(n * length, bool)
+                known[on] = self.ends[state[on]] >= 0
+                strange = ~known.reshape(n, length).all(axis=1)
+            row, start, state = row[on], start[on], state[on]
+            whole = self.ends[state] >= 0
+            r, e = row[whole], start[whole] + k
+            score[r, e, most - k], ids[r, e, most - k] = self.worth[state[whole]], self.ends[state[whole]]
+        forward, backward = np.full((n, most + length + 1), -np.inf), np.full((n, length + most + 1), -np.inf)
+        forward[:, most], backward[:, length] = 0, 0  # forward has places before the first
+        chosen = np.zeros((n, length + 1), np.int64)
+        for j in range(1, length + 1):
+            sums = forward[:, j : j + most] + score[:, j]
+            chosen[:, j] = sums.argmax(axis=1)
+            forward[:, most + j] = sums[np.arange(n), chosen[:, j]]
+        place = np.arange(most)
+        for i in range(length - 1, -1, -1):
+            backward[:, i] = (backward[:, i + most - place] + score[:, i + most - place, place]).max(axis=1)
+        at, taken, rows = np.full(n, length), np.full((n, length), -1, np.int64), np.arange(n)
+        through = np.full((n, length + 1, most), -np.inf)
+        for j in range(1, length + 1):
+            through[:, j] = forward[:, j : j + most] + score[:, j] + backward[:, j : j + 1]
+        while (left := np.flatnonzero(at > 0)).size:
+            j, c = at[left], chosen[rows[left], at[left]]
+            begin = np.maximum(j - (most - c), 0)
+            taken[left, begin] = ids[left, j, c]
+            through[left, j, c] = -np.inf
+            at[left] = begin
+        second = through.reshape(n, -1).max(axis=1)
+        best = forward[:, most + length]
         fine = np.flatnonzero(~strange)
-        packed = [t[t >= 0].astype("<u4").tobytes() for t in taken[fine]]
-        self._keep([parts[k] for k in fine.tolist()], packed, forward[length][fine], (forward[length] - second)[fine])
+        flat = taken[fine]
+        there = flat >= 0
+        whole, ends = flat[there].astype("<u4").tobytes(), (4 * np.cumsum(there.sum(axis=1))).tolist()
+        packed = [whole[a:z] for a, z in zip([0, *ends], ends)]
+        self._keep([parts[k] for k in fine.tolist()], packed, best[fine], best[fine] - second[fine])
         for k in np.flatnonzero(strange).tolist():
             found = self.best(parts[k], 2)
             self._keep([parts[k]], [np.array(found[0][1], "<u4").tobytes()], [found[0][0]], [found[0][0] - found[1][0] if len(found) > 1 else np.inf])
@@ -227,9 +266,12 @@ class Pieces:
         paths = [self._best_known(parts[i], n) for i in turn]
         ends = np.cumsum(self.width[at])
         cuts = [(int(ends[i] - self.width[at[i]]), int(ends[i])) for i in turn]
-        sums = sorted((-sum(p[k][0] - p[0][0] for p, k in zip(paths, pick)), pick) for pick in product(*[range(len(p)) for p in paths]))
+        # The n least sums over the parts: of the parts so far, only the n best can go on.
+        sums: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
+        for p in paths:
+            sums = nsmallest(n, ((more + p[0][0] - p[k][0], (*pick, k)) for more, pick in sums for k in range(len(p))))
         out = []
-        for more, pick in sums[:n]:
+        for more, pick in sums:
             spelt, done = [], 0
             for (a, b), p, k in zip(cuts, paths, pick):
                 spelt += [best[done:a], np.array(p[k][1], "<u4").tobytes()]
