@@ -51,7 +51,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
         F.sha2(F.concat("h", F.lit("\n"), "p"), 256).alias("full"),
         F.struct((F.length("h") + F.length("p")).alias("long"), F.length("h").alias("host"), (F.col("verdict") == "block").alias("block"), F.concat("h", "p").alias("rule"), "verdict").alias("found"),
     ).withColumn("key", F.substring("full", 1, SHORT))
-    met = spread.join(named, (F.col("short") == F.col("key")) & (F.col("digest") == F.col("full")), "left")
+    met = spread.join(named, F.col("short") == F.col("key"), "left").withColumn("found", F.when(F.col("digest") == F.col("full"), F.col("found")))
     won = met.groupBy("row").agg(F.max("id").alias("id"), F.max("host").alias("host"), F.max("path").alias("path"), F.max("found").alias("won"))
     return won.select(F.col("id").alias(id_col), "host", "path", F.col("won.rule").alias("rule"), F.coalesce("won.verdict", F.lit(default)).alias("verdict"))
 
