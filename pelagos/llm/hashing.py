@@ -11,7 +11,7 @@ import numpy as np
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 BITS = 18
 SIZE = 1 << BITS
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _LOW = np.uint64(0xFFFFFFFF)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: The word's number in the lower half, its shape's in the upper, in the worker.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,14 +72,14 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, limit: int = LEAR
         for batch in found:
             made = [features(t) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label").cast(pa.int32()), pa.array([m[0].astype(np.int32).tobytes() for m in made], pa.binary()), pa.array([m[1].astype(np.float32).tobytes() for m in made], pa.binary())],
-                names=["doc_id", "label", "numbers", "values"],
+                [batch.column("label").cast(pa.int32()), pa.array([m[0].astype(np.int32).tobytes() for m in made], pa.binary()), pa.array([m[1].astype(np.float32).tobytes() for m in made], pa.binary())],
+                names=["label", "numbers", "values"],
             )
 
-    got = sample(docs, labels, "quality", may_learn, limit).mapInArrow(run, "doc_id long, label int, numbers binary, values binary").toArrow()
+    got = sample(docs, labels, "quality", may_learn, limit).mapInArrow(run, "label int, numbers binary, values binary").toArrow()
     columns = [got.column(c).to_pylist() for c in got.column_names]
-    rows = sorted(zip(*columns), key=lambda r: (r[0], r[1], r[2]))
-    return learn([(int(r[1]), np.frombuffer(r[2], np.int32), np.frombuffer(r[3], np.float32).astype(np.float64)) for r in rows])
+    rows = sorted(zip(*columns), key=lambda r: (zlib.crc32(r[1]), *r))
+    return learn([(int(r[0]), np.frombuffer(r[1], np.int32), np.frombuffer(r[2], np.float32).astype(np.float64)) for r in rows])
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text") -> DataFrame:
@@ -103,7 +104,12 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "tex
 
 
 def judged(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of docs."""
+    """doc_id, held_out, score, predicted for every row of docs.
+
+    Null texts count as empty, and empty ones get the bias's score. Rows without an id are scored and not held out; their
+    id may have any type. Repeated rows are scored alike, as often as they come. Other columns are not read. Without
+    labels of both classes all scores are alike; an empty table gives no rows.
+    """
     may_learn = remainder(F.col("doc_id"), folds) != held
     scored = score(docs.select("doc_id", "text"), fit(docs, labels, may_learn))
     return scored.select(

@@ -308,7 +308,12 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float, float, float], id_col
 
 
 def judged(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int = 1, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row of docs."""
+    """doc_id, held_out, score, predicted for every row of docs.
+
+    Null and empty texts get the lowest score. Rows without an id are scored and not held out; their id may have any type.
+    Repeated rows are scored alike, as often as they come. Other columns are not read. Without labels of both classes all
+    scores are low; an empty table gives no rows.
+    """
     fold = remainder(F.col("doc_id"), folds)
     scored = score(docs, fit(docs, labels, fold != held))
     return scored.select("doc_id", F.coalesce(fold == held, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
