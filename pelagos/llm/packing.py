@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +31,16 @@ def _odd(text: str) -> bool:
     return _ODD.search(text) is not None
 
 
+@cache
+def _ends_alone(c: str) -> bool:
+    """Whether a mark after the character is a token of its own: the character's normal form is one letter or digit."""
+    return c.isalnum() and len(n := unicodedata.normalize("NFC", c)) == 1 and len(n.lower()) == 1
+
+
 def _plain(word: str) -> tuple[str, str]:
     """(string, full stop or comma or nothing) with the same ids in all: the tokenizer lower-cases, and takes a mark
     after a letter or digit for itself. Letters beyond the Latin ones are left to it."""
-    end = word[-1] if word[-1] in ".," and word[-2:-1].isalnum() else ""
+    end = word[-1] if word[-1] in ".," and len(word) > 1 and _ends_alone(word[-2]) else ""
     core = word[:-1] if end else word
     return (core.lower() if core.isascii() or (max(core) < "ɐ" and "İ" not in core) else core), end
 
@@ -122,14 +130,18 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
-        new = list({w for p in parts if p for w in p}.difference(known))
+        new = set().union(*[p for p in parts if p]).difference(known)
+        tokenize = self.model.tokenize
+        simple = [w for w in new if w.isalpha() and w.islower() and w.isascii()]  # the larger part
+        known.update((w, array("I", [x.id for x in tokenize(w)]).tobytes()) for w in simple)
+        new = list(new.difference(simple))
         plain = [_plain(w) for w in new]
         cores = list({c for c, _ in plain}.union((".", ",")).difference(known))
         rest = []
         for c in cores:
             if c.isalpha() and (c.isascii() or max(c) < "ɐ") and c.islower():  # one word for the model, as bytes
                 seen = c if c.isascii() else "".join([self.signs[b] for b in c.encode()])
-                known[c] = array("I", [x.id for x in self.model.tokenize(seen)]).tobytes()
+                known[c] = array("I", [x.id for x in tokenize(seen)]).tobytes()
             else:
                 rest.append(c)
         for at in range(0, len(rest), 500):

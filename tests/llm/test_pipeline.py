@@ -63,7 +63,7 @@ CLASHING = "doc_id long, text string, score string, keep_id string, component_id
 
 
 @pytest.mark.parametrize("apply", [
-    lambda d, l: pii.surrogates(d), lambda d, l: toxicity.judged(d, l), lambda d, l: packing.pack(d), lambda d, l: simhash.near_groups(d), lambda d, l: exact_dedup.exact_groups(d), lambda d, l: quality.judged(d, l), lambda d, l: pieces.encode(d),
+    lambda d, l: pii.surrogates(d, b"k"), lambda d, l: toxicity.judged(d, l), lambda d, l: packing.pack(d), lambda d, l: simhash.near_groups(d), lambda d, l: exact_dedup.exact_groups(d), lambda d, l: quality.judged(d, l), lambda d, l: pieces.encode(d),
 ], ids=["pii", "toxicity", "packing", "simhash", "exact_dedup", "quality", "pieces"])
 def test_clashing_columns_and_edge_rows(spark, apply):
     width = len(CLASHING.split(",")) - 2
