@@ -42,3 +42,14 @@ def any_box(lat: Column, lon: Column, boxes: list[tuple[float, float, float, flo
     """In one of the boxes (south, west, north, east); a box whose west is beyond its east crosses the date line."""
     tests = [lat.between(s, n) & (lon.between(w, e) if w <= e else (lon >= w) | (lon <= e)) for s, w, n, e in boxes]
     return reduce(or_, tests) if tests else F.lit(False)
+
+
+def geometry(lat: Column, lon: Column, lat_sd: Column, lon_sd: Column) -> Column:
+    """A position as text: a point, or what one standard deviation spans: a line if one coordinate is exact, else a box."""
+    n = lambda c: F.format_string("%.5f", c)
+    west, east, south, north = (n(c) for c in (lon - lon_sd, lon + lon_sd, lat - lat_sd, lat + lat_sd))
+    at = lambda x, y: F.concat(x, F.lit(" "), y)
+    has = lambda sd: F.coalesce(sd > 0, F.lit(False))
+    box = F.concat(F.lit("POLYGON (("), at(west, south), F.lit(", "), at(east, south), F.lit(", "), at(east, north), F.lit(", "), at(west, north), F.lit(", "), at(west, south), F.lit("))"))
+    line = lambda a, b: F.concat(F.lit("LINESTRING ("), a, F.lit(", "), b, F.lit(")"))
+    return F.when(has(lat_sd) & has(lon_sd), box).when(has(lat_sd), line(at(n(lon), south), at(n(lon), north))).when(has(lon_sd), line(at(west, n(lat)), at(east, n(lat)))).otherwise(F.concat(F.lit("POINT ("), at(n(lon), n(lat)), F.lit(")")))

@@ -1,14 +1,69 @@
-"""Text, paths, dates and lists."""
+"""Text, paths, dates and lists."""
 
 from __future__ import annotations
 
+import unicodedata
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def normalise(c: Column) -> Column:
-    """Line ends to LF, tabs and wide spaces to a space, dashes to one, no control signs, runs of spaces to one, trimmed."""
-    c = F.regexp_replace(c, "\r\n?", "\n")
+def composed(c: Column) -> Column:
+    """In normal form C. Spark has no such function; whole Arrow arrays go through Python, so use it where marks may be loose."""
+
+    @F.arrow_udf("string")
+    def nfc(texts: pa.Array) -> pa.Array:
+        return pa.array([t and unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string())
+
+    return nfc(c)
+
+
+def no_nan(c: Column) -> Column:
+    return F.when(~F.isnan(c), c)
+
+
+def from_fixed(c: Column) -> Column:
+    """Text of a fixed number of bytes, without the zeros that fill it."""
+    return F.regexp_replace(F.decode(c, "UTF-8"), "\\x00+$", "")
+
+
+def to_fixed(c: Column, size: int) -> Column:
+    """The first ``size`` bytes of a text, filled up with zeros."""
+    return F.rpad(F.substring(F.encode(c, "UTF-8"), 1, size), size, F.lit(b"\x00"))
+
+
+def percent(c: Column) -> Column:
+    """Percent-encoded: letters, digits and _.-~/ stay."""
+    out = F.url_encode(c)
+    for a, b in (("+", "%20"), ("%2F", "/"), ("%7E", "~"), ("*", "%2A")):
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
+def json_bytes(c: Column) -> Column:
+    """Bytes as text that JSON can hold."""
+    return F.base64(c)
+
+
+def in_zone(c: Column, zone: str) -> Column:
+    """The clock of a zone at a time in UTC."""
+    return F.from_utc_timestamp(c, zone)
+
+
+def without_keys(c: Column, *names: str) -> Column:
+    return F.map_filter(c, lambda k, _: ~k.isin(*names))
+
+
+def same_structure(a: Column, b: Column) -> Column:
+    """Equal values all the way down; the order of keys does not matter, that of lists does. Arguments are JSON texts."""
+    whole = lambda c: F.to_json(F.try_parse_json(c))  # noqa: E731  variants hold keys in order
+    return whole(a).eqNullSafe(whole(b))
+
+
+def normalise(c: Column, compose: bool = False) -> Column:
+    """Line ends to LF, tabs and wide spaces to a space, dashes to one, no control signs, runs of spaces to one, trimmed; composed if asked for."""
+    c = F.regexp_replace(composed(c) if compose else c, "\r\n?", "\n")
     c = F.regexp_replace(c, "[\\t  -   　]", " ")
     c = F.regexp_replace(c, "[‐-―−]", "-")
     c = F.regexp_replace(c, "[\\x00-\\x09\\x0b-\\x1f\\x7f]", "")
@@ -24,7 +79,7 @@ def split_clean(c: Column, pattern: str) -> Column:
 
 
 def file_name(c: Column) -> Column:
-    safe = F.regexp_replace(c, r"[^A-Za-z0-9._-]", "_")
+    safe = F.regexp_replace(c, r"[^A-Za-z0-9._-]", "_")  # ASCII: characters are bytes
     reserved = F.upper(F.substring_index(safe, ".", 1)).rlike(r"^(CON|PRN|AUX|NUL|COM[1-9]|LPT[1-9])$")
     return F.substring(F.when(reserved | (safe == ""), F.concat(F.lit("_"), safe)).otherwise(safe), 1, 255)
 

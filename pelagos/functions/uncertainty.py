@@ -36,6 +36,34 @@ def power(a: Column, exponent: float) -> Column:
     return _made(F.pow(a["value"], F.lit(exponent)), F.pow(exponent * F.pow(a["value"], F.lit(exponent - 1)) * a["sd"], 2))
 
 
+def root(a: Column) -> Column:
+    return power(a, 0.5)
+
+
+def sine(a: Column) -> Column:
+    return _made(F.sin(a["value"]), F.pow(F.cos(a["value"]) * a["sd"], 2))
+
+
+def cosine(a: Column) -> Column:
+    return _made(F.cos(a["value"]), F.pow(F.sin(a["value"]) * a["sd"], 2))
+
+
+def radians(a: Column) -> Column:
+    return _made(F.radians(a["value"]), F.pow(F.radians(a["sd"]), 2))
+
+
+def arctangent(y: Column, x: Column) -> Column:
+    """Of y / x, by quadrant."""
+    square = F.pow(x["value"], 2) + F.pow(y["value"], 2)
+    return _made(F.atan2(y["value"], x["value"]), F.try_divide(F.pow(x["value"] * y["sd"], 2) + F.pow(y["value"] * x["sd"], 2), F.pow(square, 2)))
+
+
+def scaled(value: Column, digits: Column) -> Column:
+    """value times ten to the power of -digits, known to half of its last place: a uniform distribution's deviation."""
+    unit = F.pow(F.lit(10.0), -digits.cast("double"))
+    return F.struct((value * unit).alias("value"), (unit / 2 / F.sqrt(F.lit(3.0))).alias("sd"))
+
+
 def at_least_sd(a: Column, sd: float) -> Column:
     return F.struct(a["value"].alias("value"), F.greatest(a["sd"], F.lit(sd)).alias("sd"))
 

@@ -143,3 +143,19 @@ def speed_limit(text: Column, default: float = 40.0) -> Column:
     unit = F.trim(F.regexp_extract(text, r"^\s*[-+]?\d+(?:\.\d+)?\s*(.*)$", 1))
     known = F.create_map(*[x for u in ("m s-1", "km h-1", "kt", "knot", "cm s-1") for x in (F.lit(u), F.lit(parse(u).scale))])
     return F.coalesce(number * F.when(unit == "", F.lit(1.0)).otherwise(F.try_element_at(known, unit)), F.lit(default))
+
+
+def all_in(values: Column, able: Column, source: str, target: str) -> Column:
+    """An array of values in another unit, null where the array ``able`` says false or null."""
+    both = F.arrays_zip(values.alias("v"), able.alias("a"))
+    return F.transform(both, lambda x: F.when(x["a"], convert(x["v"], source, target)))
+
+
+def coded(value: Column, codes: dict, fill: int | float) -> Column:
+    """A value's code; the fill value where it is null or unknown."""
+    known = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, value), F.lit(fill))
+
+
+def filled(value: Column, fill: float = -9999.9) -> Column:
+    return F.coalesce(F.when(~F.isnan(value), value), F.lit(fill))

@@ -5,6 +5,8 @@ Parquet has no rows to lock: each function gives the table that should replace t
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DataType, DateType, MapType, StructType, TimestampNTZType, TimestampType
@@ -80,12 +82,9 @@ def edited(elements: DataFrame, actions: DataFrame, place: list[str]) -> tuple[D
     refused = seen.where(~F.coalesce(F.col("record_hash") == F.col("_now"), F.lit(False))).drop("_now")
     last = lambda k: F.max_by(F.when(F.col("kind") == k, F.struct("new_value")), F.when(F.col("kind") == k, F.col("action_idx")))
     per = good.groupBy(*place).agg(last("set_value").alias("_value"), last("set_flag").alias("_flag"))
-    same = [elements[c].eqNullSafe(per[c]) for c in place]
-    condition = same[0]
-    for test in same[1:]:
-        condition = condition & test
-    per_columns = [per[c] for c in place]
-    joined = elements.join(per, condition, "left").drop(*per_columns)
+    per = per.select(*[F.col(c).alias(f"_at_{c}") for c in place], "_value", "_flag")
+    condition = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_at_{c}")) for c in place])
+    joined = elements.join(per, condition, "left")
     text = F.when(F.col("_value").isNotNull(), F.col("_value.new_value")).otherwise(F.col("value_txt"))
     number = F.when(F.col("_value").isNotNull(), F.col("_value.new_value").try_cast("double")).otherwise(F.col("value_num"))
     flag = F.when(F.col("_flag").isNotNull(), F.col("_flag.new_value").try_cast("int")).otherwise(F.col("working_quality"))

@@ -64,16 +64,20 @@ def overridden(df: DataFrame, base: DataFrame, special: DataFrame, on: list[str]
 
 
 def near_pairs(df: DataFrame, key: str, id_col: str, time: str, seconds: int, lat: str | None = None, lon: str | None = None, metres: float | None = None) -> DataFrame:
-    """(a, b) with a < b of one key, at most so many seconds and metres apart. Each row looks into its own time bin and
-    the next, so pairs are found once and only near rows meet."""
+    """(a, b) with a < b of one key, at most so many seconds and metres apart. Ids are unique.
+
+    Each row looks into its own time bin and the next, and within its own at greater ids only: a pair is found once, and
+    nothing has to be made distinct. All rows of a key within one bin meet each other, as the pairs among them are the result.
+    """
     at = F.unix_seconds(F.col(time).cast("timestamp"))
     base = df.select(F.col(key).alias("key"), F.col(id_col).alias("id"), F.unix_micros(F.col(time).cast("timestamp")).alias("at"), F.floor(at / seconds).alias("bin"), *([F.col(lat).alias("lat"), F.col(lon).alias("lon")] if lat else []))
-    left = base.withColumn("bin", F.explode(F.array("bin", F.col("bin") + 1))).alias("l")
+    left = base.withColumn("own", F.col("bin")).withColumn("bin", F.explode(F.array("bin", F.col("bin") + 1))).alias("l")
     right = base.alias("r")
-    pairs = left.join(right, ["key", "bin"]).where((F.col("l.id") != F.col("r.id")) & (F.abs(F.col("l.at") - F.col("r.at")) <= seconds * 1_000_000))
+    once = (F.col("l.own") != F.col("bin")) | (F.col("l.id") < F.col("r.id"))
+    pairs = left.join(right, ["key", "bin"]).where(once & (F.col("l.id") != F.col("r.id")) & (F.abs(F.col("l.at") - F.col("r.at")) <= seconds * 1_000_000))
     if lat:
         pairs = pairs.where(geo.haversine(F.col("l.lat"), F.col("l.lon"), F.col("r.lat"), F.col("r.lon")) <= metres)
-    return pairs.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
+    return pairs.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
 
 
 def dequeue(queue: DataFrame, locked: DataFrame, queue_col: str, name_col: str, order: list) -> DataFrame:

@@ -35,6 +35,21 @@ def spikes(df: DataFrame, keys: list[str], order: list[str], value: str, spike:
     return neighbours(df, keys, order, value).withColumn("code", code).where("code is not null")
 
 
+def spikes_of_several(df: DataFrame, keys: list[str], order: list[str], values: str, spike: float, gradient: float | None = None) -> DataFrame:
+    """As ``spikes``, where a level has several values (an array): a level is flagged only if each choice of one value of
+    the level before, of its own and of the level after is a spike (or gradient). Levels beside one without values are not tested."""
+    bent = lambda a, b, c: F.abs(b - (a + c) / 2)
+
+    def each(least: float, value) -> Column:
+        return F.forall("v1", lambda a: F.forall("v2", lambda b: F.forall("v3", lambda c: at_least(value(a, b, c), F.lit(float(least))))))
+
+    code = F.when(each(spike, lambda a, b, c: bent(a, b, c) - F.abs(a - c) / 2), "spike")
+    if gradient is not None:
+        code = code.when(each(gradient, bent), "gradient")
+    full = (F.size("v1") > 0) & (F.size("v2") > 0) & (F.size("v3") > 0)
+    return neighbours(df, keys, order, values).where(full).withColumn("code", code).where("code is not null")
+
+
 def end_spikes(df: DataFrame, keys: list[str], order: list[str], value: str, down: float, up: float, top: bool = True) -> DataFrame:
     """The first (or last) level of each series where it differs from the next to it by ``down`` or less, or ``up`` or more."""
     w = _window(keys, order)
@@ -83,3 +98,17 @@ def stale(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """df with is_stale: false for the latest run of each key only."""
     newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
     return df.withColumn("is_stale", F.row_number().over(newest) > 1)
+
+
+def series(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """(keys, low, high, values): a series as one array in order, nulls left out, with its range; for one chart, so a group
+    is as large as a series."""
+    found = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.sort_array(F.collect_list(F.struct(*order, value))).alias("held"))
+    return found.select(*keys, "low", "high", F.col(f"held.{value}").alias("values"))
+
+
+def direction(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
+    """(keys, direction): I where most steps of a series go up, D where most go down, null where neither."""
+    step = F.signum(F.col(value) - F.lag(value).over(_window(keys, order)))
+    total = F.sum("_step")
+    return df.withColumn("_step", step).groupBy(*keys).agg(F.when(total > 0, "I").when(total < 0, "D").alias("direction"))

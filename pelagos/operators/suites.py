@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, ocean, units
 from ..functions.uncertainty import at_least
 from ..sources import records
-from . import filters, profiles
+from . import filters, joins, profiles
 
 PLACE = ("record_id", "set_type", "set_idx", "level_idx", "scope", "name", "value_idx")
 SERIES = ["record_id", "set_type", "set_idx"]
@@ -175,6 +175,91 @@ def spikes(limits: dict[str, tuple[float, float, float, float]]) -> Callable[[Da
     return find
 
 
+def spikes_of_several(limits: dict[str, tuple[float, float]]) -> Callable[[DataFrame], DataFrame]:
+    """{name: (spike, gradient)} over all values of an element: only what no choice among them explains is flagged."""
+
+    def find(elements: DataFrame) -> DataFrame:
+        out = []
+        for name, (spike, gradient) in limits.items():
+            own = tested(elements, True).where((F.col("name") == name) & F.col("level_idx").isNotNull() & F.col("value_num").isNotNull())
+            held = own.groupBy(*LEVEL).agg(F.transform(F.sort_array(F.collect_list(F.struct("value_idx", "value_num"))), lambda x: x["value_num"]).alias("values"))
+            out.append(_found(profiles.spikes_of_several(held, SERIES, ["level_idx"], "values", spike, gradient), F.col("code"), OUTSIDE, "parameters", name))
+        return reduce(DataFrame.unionByName, out)
+
+    return find
+
+
+def _record(df: DataFrame, code: Column | str, flag: int | None = None) -> DataFrame:
+    """Findings on whole records."""
+    code = F.lit(code) if isinstance(code, str) else code
+    kinds = {"record_id": F.col("record_id"), "set_idx": F.lit(None).cast("int"), "level_idx": F.lit(None).cast("int"), "value_idx": F.lit(0)}
+    return df.select(*[kinds.get(c, F.lit(None).cast("string")).alias(c) for c in PLACE], code.alias("code"), F.lit(flag).cast("int").alias("flag"))
+
+
+def _tops(elements: DataFrame, *names: str) -> DataFrame:
+    """(record_id, one column of text a name): the first values of whole records."""
+    own = elements.where(F.col("level_idx").isNull() & (F.col("value_idx") == 0))
+    return own.groupBy("record_id").agg(*[F.first(F.when(F.col("name") == n, F.col("value_txt")), ignorenulls=True).alias(n) for n in names])
+
+
+def station(platforms: DataFrame, identifiers: list[str], uuid: str = "PlatformUUID", needed: tuple[str, ...] = ()) -> Callable[[DataFrame], DataFrame]:
+    """Which platform a record is of. platforms: (platform_uuid, name, value), an identifier a row. A record that names a
+    platform must name a known one; else its identifiers must lead to one platform, and not to none or several, which are
+    reported as incomplete where one of the ``needed`` identifiers is missing."""
+
+    def find(elements: DataFrame) -> DataFrame:
+        own = _tops(elements, uuid, *identifiers)
+        known = platforms.select(F.col("platform_uuid").alias(uuid)).distinct().withColumn("_known", F.lit(True))
+        named = own.where(F.col(uuid).isNotNull()).join(known, uuid, "left").where("_known is null")
+        rest = own.where(F.col(uuid).isNull())
+        pairs = rest.select("record_id", F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(n).alias("value")) for n in identifiers])).alias("i")).select("record_id", "i.*").where("value is not null")
+        hits = pairs.join(platforms, ["name", "value"]).groupBy("record_id").agg(F.count_distinct("platform_uuid").alias("n"))
+        judged = rest.join(hits, "record_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        without = reduce(lambda a, b: a & b, [F.col(n).isNull() for n in identifiers])
+        incomplete = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in needed], F.lit(False))
+        code = F.when(without, "station_no_id").when((F.col("n") == 0) & incomplete, "station_incomplete").when(F.col("n") == 0, "station_no_record").when(F.col("n") > 1, "station_many_records")
+        return _record(named, "station_bad_uuid").unionByName(_record(judged.withColumn("_code", code).where("_code is not null"), F.col("_code")))
+
+    return find
+
+
+def top_speed(platform: str = "PlatformUUID", most: float = 40.0, own: DataFrame | None = None) -> Callable[[DataFrame], DataFrame]:
+    """Records reached from their platform's fix before at more than ``most`` metres a second, or its own limit (own:
+    platform, top_speed; null: not tested)."""
+
+    def find(elements: DataFrame) -> DataFrame:
+        fixes = _tops(elements, platform, "Time", "Latitude", "Longitude").select("record_id", F.col(platform).alias("platform"), F.try_to_timestamp("Time").alias("time"), F.col("Latitude").try_cast("double").alias("lat"), F.col("Longitude").try_cast("double").alias("lon"))
+        fixes = fixes.where("platform is not null and time is not null and lat is not null and lon is not null")
+        limit = F.lit(float(most))
+        if own is not None:
+            fixes = fixes.join(own.withColumn("_own", F.lit(True)), "platform", "left")
+            limit = F.when(F.col("_own"), F.col("top_speed")).otherwise(limit)
+        return _record(profiles.speeds(fixes, ["platform"], ["time", "record_id"], "time", "lat", "lon").where(F.col("speed") > limit), "speed_too_fast", OUTSIDE)
+
+    return find
+
+
+def mandatory_review(platforms: DataFrame, platform: str = "PlatformUUID") -> Callable[[DataFrame], DataFrame]:
+    """Records of the platforms that are always reviewed. platforms: (platform_uuid)."""
+    return lambda e: _record(_tops(e, platform).join(platforms.select(F.col("platform_uuid").alias(platform)).distinct(), platform, "left_semi"), "manual_review_required")
+
+
+def duplicates(compared: Callable[[DataFrame, DataFrame], DataFrame], platform: str = "PlatformUUID", seconds: int = 900, metres: float = 5000.0) -> Callable[[DataFrame], DataFrame]:
+    """The later of two records of one platform that lie near each other in time and space and match. ``compared`` takes
+    pairs (pair_id, a, b) and elements and gives (pair_id, verdict)."""
+
+    def find(elements: DataFrame) -> DataFrame:
+        fixes = _tops(elements, platform, "Time", "Latitude", "Longitude").withColumns({"time": F.try_to_timestamp("Time"), "lat": F.col("Latitude").try_cast("double"), "lon": F.col("Longitude").try_cast("double")})
+        near = joins.near_pairs(fixes.where(F.col(platform).isNotNull()), platform, "record_id", "time", seconds, "lat", "lon", metres)
+        pairs = near.select(F.concat_ws("|", "a", "b").alias("pair_id"), "a", "b")
+        judged = pairs.join(compared(pairs, elements), "pair_id").where("verdict != 'NO_MATCH'")
+        sure = F.col("verdict").isin("IDENTICAL", "A_IS_SUPERSET", "B_IS_SUPERSET")
+        code = F.when(F.bool_or(sure), "working_duplicate_record_found").otherwise("working_potential_duplicate_record_found")
+        return _record(judged.groupBy(F.col("b").alias("record_id")).agg(code.alias("code")), F.col("code"))
+
+    return find
+
+
 def inversions(elements: DataFrame) -> DataFrame:
     """Temperatures from the first inversion down."""
     df = _levels(elements, "Temperature", "Depth")
