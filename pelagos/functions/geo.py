@@ -53,3 +53,11 @@ def geometry(lat: Column, lon: Column, lat_sd: Column, lon_sd: Column) -> Column
     box = F.concat(F.lit("POLYGON (("), at(west, south), F.lit(", "), at(east, south), F.lit(", "), at(east, north), F.lit(", "), at(west, north), F.lit(", "), at(west, south), F.lit("))"))
     line = lambda a, b: F.concat(F.lit("LINESTRING ("), a, F.lit(", "), b, F.lit(")"))
     return F.when(has(lat_sd) & has(lon_sd), box).when(has(lat_sd), line(at(n(lon), south), at(n(lon), north))).when(has(lon_sd), line(at(west, n(lat)), at(east, n(lat)))).otherwise(F.concat(F.lit("POINT ("), at(n(lon), n(lat)), F.lit(")")))
+
+
+def cells_around(lat: Column, lon: Column, per_degree: int, reach: int = 1) -> Column:
+    """An array of (cell_lat, cell_lon): the cells within reach of a position; columns of cells go round the sphere."""
+    at_lat, at_lon, round_ = cell(lat, per_degree), cell(lon, per_degree), 360 * per_degree
+    steps = F.array(*[F.lit(k).cast("long") for k in range(-reach, reach + 1)])
+    wrapped = lambda x: F.pmod(x + F.lit(round_ // 2), F.lit(round_)) - F.lit(round_ // 2)
+    return F.flatten(F.transform(steps, lambda i: F.transform(steps, lambda j: F.struct((at_lat + i).alias("cell_lat"), wrapped(at_lon + j).alias("cell_lon")))))

@@ -128,3 +128,15 @@ def in_service(at: Column, start: Column, end: Column) -> Column:
 
 def same_values(a: Column, b: Column) -> Column:
     return F.forall(a, lambda x: F.array_contains(b, x)) & F.forall(b, lambda x: F.array_contains(a, x))
+
+
+def mapped(c: Column, known: dict[str, str]) -> Column:
+    """What a value is called elsewhere, found without case; others stay."""
+    names = F.create_map(*[F.lit(x) for k, v in known.items() for x in (k.lower(), v)])
+    return F.coalesce(F.try_element_at(names, F.lower(c)), c)
+
+
+def found_at(body: Column, path: str, kind: str = "string") -> Column:
+    """What a JSON text holds at a path such as ``coordinates/Depth/0``; null where it has none, or nothing of that kind."""
+    steps = "".join(f"[{p}]" if p.isdigit() else f"['{p}']" for p in path.strip("/").split("/"))
+    return F.try_variant_get(F.try_parse_json(body), f"${steps}", kind)

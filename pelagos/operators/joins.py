@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -57,6 +58,15 @@ def in_bands(df: DataFrame, bands: DataFrame, value: str, small: int = 10_000) -
     return df.withColumn("_cell", cell(value)).join(dealt, "_cell").where(inside).drop("_cell")
 
 
+def around(df: DataFrame, grid: DataFrame, key: str, lat: str, lon: str, per_degree: int, low: str, high: str, reach: int = 1, sd: float = 0.0) -> DataFrame:
+    """(key, low, high, n_cells): the range of a gridded model (cell_lat, cell_lon, low, high) in the cells within reach of each
+    position, across the date line; reach grows by what ``sd`` degrees of the position's uncertainty span, twice. The grid is
+    joined by cell, so it may be of any size; rows without a cell there are left out."""
+    reach += math.ceil(2 * sd * per_degree)
+    near = df.select(key, F.explode(geo.cells_around(F.col(lat), F.col(lon), per_degree, reach)).alias("c")).select(key, "c.*")
+    return near.join(grid, ["cell_lat", "cell_lon"]).groupBy(key).agg(F.min(low).alias("low"), F.max(high).alias("high"), F.count(F.lit(1)).alias("n_cells"))
+
+
 def overridden(df: DataFrame, base: DataFrame, special: DataFrame, on: list[str], key: str, column: str) -> DataFrame:
     """df with ``column``: the special rule for (on, key) if there is one, else the base rule for ``on``."""
     s = special.select(*on, key, F.col(column).alias("special"))

@@ -29,6 +29,45 @@ def extent(df: DataFrame, key: str, depth: Column) -> DataFrame:
     return out.withColumn("obs_type", kind)
 
 
+def bounds(df: DataFrame, key: str, time: str, lat: str | None = None, lon: str | None = None, depth: str | None = None) -> DataFrame:
+    """(key, first and last time, n, and the box and depths if asked for)."""
+    found = [F.min(time).alias("first_time"), F.max(time).alias("last_time"), F.count(F.lit(1)).alias("n")]
+    for column, low, high in ((lat, "south", "north"), (lon, "west", "east"), (depth, "min_depth", "max_depth")):
+        if column:
+            found += [F.min(column).alias(low), F.max(column).alias(high)]
+    return df.groupBy(key).agg(*found)
+
+
+def parameter_sets(df: DataFrame, key: str, name: str, level: Column | None = None) -> DataFrame:
+    """(key, names, n): the sorted distinct names; with ``level`` (null or zero: at the surface) also surface and profile, apart."""
+    every = [F.array_sort(F.collect_set(name)).alias("names"), F.count(F.lit(1)).alias("n")]
+    if level is not None:
+        below = F.coalesce(level, F.lit(0)) > 0
+        every += [F.array_sort(F.collect_set(F.when(~below, F.col(name)))).alias("surface"), F.array_sort(F.collect_set(F.when(below, F.col(name)))).alias("profile")]
+    return df.groupBy(key).agg(*every)
+
+
+def group_key(*parts: Column, unknown: str = "?") -> Column:
+    """One digest for equal parts: records of one platform and the same parameters are worked on together. A missing part counts
+    as unknown."""
+    return F.md5(F.concat_ws("\x1f", *[F.coalesce(p.cast("string"), F.lit(unknown)) for p in parts]))
+
+
+def batch_outcome(df: DataFrame, key: str, review: Column, changed: Column) -> DataFrame:
+    """(key, outcome_rank, n_review): 2 if any record wants a review, 1 if any was changed, else 0."""
+    rank = F.when(review, 2).when(changed, 1).otherwise(0)
+    return df.groupBy(key).agg(F.max(rank).alias("outcome_rank"), F.count(F.when(review, 1)).alias("n_review"))
+
+
+def total(df: DataFrame, name: str = "n") -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias(name))
+
+
+def gridded(df: DataFrame, cells: list[str], value: str) -> DataFrame:
+    """(cells, n, least, most)."""
+    return df.groupBy(*cells).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("least"), F.max(value).alias("most"))
+
+
 def outcome(review: Column, changed: Column) -> Column:
     """Review if any test wants it, else modified if any test ran."""
     return F.when(F.bool_or(review), "MANUAL_REVIEW").when(F.bool_or(changed), "MODIFIED").otherwise("PASS")

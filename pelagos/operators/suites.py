@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import geo, ocean, units
 from ..functions.uncertainty import at_least
 from ..sources import records
@@ -308,13 +309,14 @@ def _written(elements: DataFrame, findings: DataFrame) -> DataFrame:
     return elements.join(right, same, "left").withColumn("working_quality", F.coalesce("_flag", "working_quality")).select(*elements.columns)
 
 
-def run(elements: DataFrame, suites: list[Suite], done: DataFrame | None = None, cut: Callable[[DataFrame], DataFrame] = lambda df: df) -> tuple[DataFrame, DataFrame, DataFrame]:
+def run(elements: DataFrame, suites: list[Suite], done: DataFrame | None = None, cut: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(elements with flags, findings, results): suites in order, each over the flags of those before it.
 
     ``done`` (record_id, test_name, is_stale) are results that stand: their records are skipped by that suite. ``cut``
-    may write a table between suites, to keep plans of many suites short. A result is F with findings, else P.
+    writes a table between suites, to keep plans short; without it tables are written where there are more than two. A result is F with findings, else P.
     """
     found, results = [], []
+    cut = cut or (session.cut if len(suites) > 2 else lambda df: df)
     for suite in suites:
         todo = elements
         if done is not None:

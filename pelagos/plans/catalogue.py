@@ -282,7 +282,7 @@ def date_line_search(spark, d):
 @query(f"SELECT CAST(floor(lat) AS BIGINT) AS cell_lat, CAST(floor(lon) AS BIGINT) AS cell_lon, count(*) AS n, min(value) AS least, max(value) AS most FROM ({_FIXES}) GROUP BY 1, 2")
 def cell_grid(spark, d):
     df = _fixes(spark, d).select(geo.cell(F.col("lat"), 1).alias("cell_lat"), geo.cell(F.col("lon"), 1).alias("cell_lon"), "value")
-    return df.groupBy("cell_lat", "cell_lon").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
+    return rollups.gridded(df, ["cell_lat", "cell_lon"], "value")
 
 
 @query("SELECT event_id, round(value * 3.6, 6) AS km_h, round(value + 273.15, 6) AS kelvin, round(value * 10000, 4) AS pascal FROM events")
@@ -303,7 +303,7 @@ def path_normalize(spark, d):
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_path_extract(spark, d):
-    return _t(spark, d, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint").alias("k"))
+    return _t(spark, d, "events").select("event_id", text.found_at(F.col("props"), "k", "bigint").alias("k"))
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(floor((epoch_us(o_orderdate) + 631152000000000) / 60000000) AS BIGINT) AS minutes FROM orders")
@@ -322,16 +322,10 @@ def unique_violations(spark, d):
     return joins.repeated(_t(spark, d, "lineitem"), ["l_partkey", "l_suppkey"])
 
 
-@query("SELECT d.doc_id, coalesce(l.quality, 0) AS quality FROM documents d LEFT JOIN (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY 1) l USING (doc_id)")
-def flag_promotion(spark, d):
-    flags = _t(spark, d, "labels").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    return _t(spark, d, "documents").join(flags, "doc_id", "left").select("doc_id", F.coalesce("quality", F.lit(0)).alias("quality"))
-
-
 @query("SELECT o_custkey, strftime(min(o_orderdate), '%Y-%m-%d') AS first_day, strftime(max(o_orderdate), '%Y-%m-%d') AS last_day, count(*) AS n FROM orders GROUP BY 1")
 def time_bounds(spark, d):
     day = lambda c: F.date_format(c, "yyyy-MM-dd")
-    return _t(spark, d, "orders").groupBy("o_custkey").agg(day(F.min("o_orderdate")).alias("first_day"), day(F.max("o_orderdate")).alias("last_day"), F.count(F.lit(1)).alias("n"))
+    return rollups.bounds(_t(spark, d, "orders"), "o_custkey", "o_orderdate").select("o_custkey", day("first_time").alias("first_day"), day("last_time").alias("last_day"), "n")
 
 
 @query("SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H') AS hour, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
@@ -342,7 +336,7 @@ def tumbling_counts(spark, d):
 
 @query("SELECT user_id, list_sort(list_distinct(list(event_type))) AS names, count(*) AS n FROM events GROUP BY 1")
 def parameter_sets(spark, d):
-    return _t(spark, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("names"), F.count(F.lit(1)).alias("n"))
+    return rollups.parameter_sets(_t(spark, d, "events"), "user_id", "event_type")
 
 
 @query("""SELECT coalesce(a.o_custkey, b.o_custkey) AS o_custkey, CASE WHEN a.v IS NULL THEN 'B' WHEN b.v IS NULL THEN 'A' WHEN a.v = b.v THEN 'IDENTICAL' ELSE 'CONFLICT' END AS outcome
@@ -356,7 +350,7 @@ def compare_elements(spark, d):
 @query(f"SELECT count(*) AS n FROM (SELECT lead(event_id) {_WINDOW} AS nx FROM events) WHERE nx IS NULL")
 def series_count(spark, d):
     w = Window.partitionBy(*SERIES).orderBy(*ORDER)
-    return _t(spark, d, "events").select(F.lead("event_id").over(w).alias("nx")).where("nx is null").agg(F.count(F.lit(1)).alias("n"))
+    return _t(spark, d, "events").select(F.lead("event_id").over(w).alias("nx")).where("nx is null").transform(rollups.total)
 
 
 _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -459,31 +453,27 @@ def suite_run(spark, d):
 
 
 @query(f"""WITH f AS (SELECT event_id, CAST(floor(lat) AS BIGINT) AS a, CAST(floor(lon) AS BIGINT) AS b, value FROM ({_FIXES})), g AS (SELECT a, b, min(value) AS low, max(value) AS high FROM f GROUP BY 1, 2)
-  SELECT event_id, min(low) AS low, max(high) AS high, count(*) AS n_cells FROM f JOIN g ON g.a BETWEEN f.a - 1 AND f.a + 1 AND g.b BETWEEN f.b - 1 AND f.b + 1 GROUP BY 1""")
+  SELECT event_id, min(low) AS low, max(high) AS high, count(*) AS n_cells FROM f CROSS JOIN (VALUES (-1), (0), (1)) x(i) CROSS JOIN (VALUES (-1), (0), (1)) y(j) JOIN g ON g.a = f.a + i AND g.b = (f.b + j + 540) % 360 - 180 GROUP BY 1""")
 def cell_grid_join(spark, d):
-    fixes = _fixes(spark, d).select("event_id", geo.cell(F.col("lat"), 1).alias("cell_lat"), geo.cell(F.col("lon"), 1).alias("cell_lon"), "value")
-    grid = fixes.groupBy("cell_lat", "cell_lon").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    near = fixes.withColumn("cell_lat", F.explode(F.sequence(F.col("cell_lat") - 1, F.col("cell_lat") + 1))).withColumn("cell_lon", F.explode(F.sequence(F.col("cell_lon") - 1, F.col("cell_lon") + 1)))
-    return near.join(grid, ["cell_lat", "cell_lon"]).groupBy("event_id").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count(F.lit(1)).alias("n_cells"))
+    fixes = _fixes(spark, d)
+    grid = rollups.gridded(fixes.select(geo.cell(F.col("lat"), 1).alias("cell_lat"), geo.cell(F.col("lon"), 1).alias("cell_lon"), "value"), ["cell_lat", "cell_lon"], "value")
+    return joins.around(fixes, grid, "event_id", "lat", "lon", 1, "least", "most").select("event_id", "low", "high", "n_cells")
 
 
-@query("SELECT user_id, md5(concat_ws(chr(31), CASE WHEN user_id % 3 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END, coalesce(names, '?'))) AS group_key FROM (SELECT user_id, string_agg(DISTINCT event_type, chr(31) ORDER BY event_type) AS names FROM events GROUP BY 1)")
+@query("SELECT user_id, md5(concat_ws(chr(31), CASE WHEN user_id % 3 = 0 THEN '?' ELSE CAST(user_id AS VARCHAR) END, coalesce(names, '?'))) AS group_key FROM (SELECT user_id, string_agg(DISTINCT event_type, chr(31) ORDER BY event_type) AS names FROM events GROUP BY 1)")
 def group_key(spark, d):
-    names = F.array_join(F.array_sort(F.collect_set("event_type")), "\x1f")
-    per = _t(spark, d, "events").groupBy("user_id").agg(names.alias("names"))
-    return per.select("user_id", F.md5(F.concat_ws("\x1f", F.when(F.col("user_id") % 3 != 0, F.col("user_id").cast("string")), F.coalesce("names", F.lit("?")))).alias("group_key"))
+    per = rollups.parameter_sets(_t(spark, d, "events"), "user_id", "event_type")
+    return per.select("user_id", rollups.group_key(F.when(F.col("user_id") % 3 != 0, F.col("user_id")), F.array_join("names", "\x1f")).alias("group_key"))
 
 
 @query("SELECT o_custkey, max(CASE o_orderstatus WHEN 'P' THEN 2 WHEN 'F' THEN 1 ELSE 0 END) AS outcome_rank, count(*) FILTER (o_orderstatus = 'P') AS n_review FROM orders GROUP BY 1")
 def batch_outcome(spark, d):
-    rank = F.when(F.col("o_orderstatus") == "P", 2).when(F.col("o_orderstatus") == "F", 1).otherwise(0)
-    return _t(spark, d, "orders").groupBy("o_custkey").agg(F.max(rank).alias("outcome_rank"), F.count(F.when(F.col("o_orderstatus") == "P", 1)).alias("n_review"))
+    return rollups.batch_outcome(_t(spark, d, "orders"), "o_custkey", F.col("o_orderstatus") == "P", F.col("o_orderstatus") == "F")
 
 
 @query("SELECT c_custkey, coalesce(map {'building': 'construction', 'machinery': 'plant'}[lower(c_mktsegment)], c_mktsegment) AS segment FROM customer")
 def value_map(spark, d):
-    known = F.create_map(F.lit("building"), F.lit("construction"), F.lit("machinery"), F.lit("plant"))
-    return _t(spark, d, "customer").select("c_custkey", F.coalesce(F.try_element_at(known, F.lower("c_mktsegment")), "c_mktsegment").alias("segment"))
+    return _t(spark, d, "customer").select("c_custkey", text.mapped(F.col("c_mktsegment"), {"Building": "construction", "Machinery": "plant"}).alias("segment"))
 
 
 @query("""SELECT user_id, count(*) AS n_sessions, max(n) AS longest FROM (SELECT user_id, s, count(*) AS n FROM (SELECT user_id, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS s FROM

@@ -21,16 +21,23 @@ def counted(df: DataFrame, time: str, width: str, late: str, *keys: str) -> Data
     return df.withWatermark(time, late).groupBy(F.window(time, width), *keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def load_new(df: DataFrame, target: str, checkpoint: str, keys: list[str]) -> None:
-    """Appends what is there now, each key once however often it is loaded: a batch is joined against the target."""
+def load_new(df: DataFrame, target: str, checkpoint: str, keys: list[str], day: str | None = None) -> None:
+    """Appends what is there now, each key once however often it is loaded: a batch is joined against the target.
+
+    ``day`` names a column that is part of the key, such as the date received: the target is partitioned by it, and only the
+    batch's days are read, so that a load costs the same however much there is. One load of a target runs at a time.
+    """
 
     def append(batch: DataFrame, _: int) -> None:
         fresh = batch.dropDuplicates(keys)
         spark = batch.sparkSession
         hadoop = spark._jvm.org.apache.hadoop.fs.Path(target)
         if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-            fresh = fresh.join(spark.read.schema(batch.schema).parquet(target).select(*keys), keys, "left_anti")
-        fresh.write.mode("append").parquet(target)
+            held = spark.read.schema(batch.schema).parquet(target)
+            if day:
+                held = held.where(F.col(day).isin([r[0] for r in batch.select(day).distinct().collect()]))
+            fresh = fresh.join(held.select(*keys), keys, "left_anti")
+        (fresh.write.partitionBy(day) if day else fresh.write).mode("append").parquet(target)
 
     df.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
