@@ -47,7 +47,9 @@ def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
     so many best paths, or all. Nodes on a cycle reach no root and are on no path.
 
     Self-joins double the reach of each node's pointer to its ancestors, so a path of n nodes takes log2(n) joins;
-    nodes that have reached their root take no part in later ones. Joins then go from the chosen leaves to all nodes above. Only keys travel, each row joins one other.
+    nodes that have reached their root take no part in later ones. Joins then go from the chosen leaves to all nodes above.
+    Only keys travel, each row joins one other. Every node of every chosen path is listed, which for all paths of a deep tree with
+    many leaves is the product of both: bound it by ``top``.
     """
     nodes = nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = nodes.select(F.col("tree").alias("t"), F.col("node").alias("n"))
@@ -116,15 +118,25 @@ def parse(formatted: Column) -> Column:
     return F.transform(parts, turn)
 
 
-def digests(formatted: DataFrame) -> DataFrame:
-    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, read back from format_paths' rows."""
+def reply_trees(turns: DataFrame, tree: str = "conv_id", turn: str = "turn") -> DataFrame:
+    """Turns as a tree in which turn n, counted from 1, answers turn n / 2: (tree, node, parent, role, text, score)."""
+    return chain(turns, tree, turn).withColumn("parent", F.when(F.col("node") > 1, F.floor(F.col("node") / 2)))
+
+
+def digests(formatted: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, read back from format_paths' rows, and its
+    columns named in ``keep``.
+
+    A null tree stays null; repeated rows give repeated rows; a conversation of empty texts has digests of its roles alone;
+    an empty table gives no rows.
+    """
     read = formatted.select(
-        F.col("tree").alias("conv_id"), parse(F.col("formatted")).alias("turns"), "formatted",
+        *keep, F.col("tree").alias("conv_id"), parse(F.col("formatted")).alias("turns"), "formatted",
         F.concat_ws("", F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), (s.start + 1).cast("int"), s.length.cast("int"))))).alias("loss"),
     )
     said = F.concat_ws("", F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))))
     return read.select(
-        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        *keep, "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
         F.length("loss").cast("long").alias("loss_chars"), F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
     )
 
@@ -144,3 +156,27 @@ SELECT conv_id, count(*) AS n_turns,
        sum(24 + length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|')))::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+#: The best paths of each tree that the query on reply trees formats.
+TOP = 3
+TREES_SQL = r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) AS node, role, text
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations)
+), said AS (
+  SELECT conv_id, node, role || chr(10) || text || chr(10) AS piece, CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss,
+         length(text)::DOUBLE AS score, 24 + length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|')) AS chars
+  FROM turns
+), path AS (
+  SELECT conv_id, node, piece, loss, score AS total, 1 AS depth, chars FROM said WHERE node = 1
+  UNION ALL
+  SELECT s.conv_id, s.node, p.piece || s.piece, p.loss || s.loss, p.total + s.score, p.depth + 1, p.chars + s.chars
+  FROM said s JOIN path p ON s.conv_id = p.conv_id AND p.node = s.node // 2 WHERE s.node > 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY total / depth DESC, depth DESC, node) AS rank
+  FROM path p WHERE NOT EXISTS (SELECT 1 FROM turns c WHERE c.conv_id = p.conv_id AND c.node > 1 AND c.node // 2 = p.node)
+)
+SELECT conv_id, node AS leaf, rank, depth::BIGINT AS n_turns, sha256(piece) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+       sha256(loss) AS loss_sha256, chars::BIGINT AS formatted_chars
+FROM ranked WHERE rank <= 3
+"""

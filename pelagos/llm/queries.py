@@ -59,7 +59,13 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(_table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def chat_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as trees that branch: the best root-to-leaf paths of each."""
+    nodes = save(chat.reply_trees(_table(spark, sf_dir, "conversations")))
+    return chat.digests(chat.format_paths(nodes, chat.TOP), ("leaf", "rank")).withColumn("rank", F.col("rank").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_toxicity, op3_packing, op4_simhash, op5_embeddings, op6_exact_dedup, op7_chat, op8_quality, op9_url_filter, op10_pieces)
+    f.__name__: f for f in (op1_pii, op2_toxicity, op3_packing, op4_simhash, op5_embeddings, op6_exact_dedup, op7_chat, op8_quality, op9_url_filter, op10_pieces, chat_reply_trees)
 }
-ORACLE_SQL = {"op6_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat": chat.ORACLE_SQL, "op9_url_filter": url_filter.ORACLE_SQL}
+ORACLE_SQL = {"op6_exact_dedup": exact_dedup.ORACLE_SQL, "op7_chat": chat.ORACLE_SQL, "op9_url_filter": url_filter.ORACLE_SQL, "chat_reply_trees": chat.TREES_SQL}

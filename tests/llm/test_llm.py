@@ -382,3 +382,84 @@ def test_classifiers_of_any_id_and_hot_ids(spark, module):
     table = spark.createDataFrame(rows, "doc_id string, text string")
     assert labelled.sample(table, labels, "quality", F.lit(True), 5).count() <= 7
     assert module.judged(table, labels).count() == 40
+
+
+_M = (1 << 64) - 1
+
+
+def _plain_features(text):
+    """The hashed n-grams, one by one."""
+    words = re.findall(r"\w+|[^\w\s]+", text)
+    shape = lambda w: w[:3] if not (w[0].isalnum() or w[0] == "_") else "9" if w.isdigit() else "A" if w.isupper() and len(w) > 1 else "T" if w[0].isupper() else "a"
+    w = [zlib.crc32(x.encode("utf-8", "replace")) for x in words]
+    s = [zlib.crc32(shape(x).encode("utf-8", "replace"), 1) for x in words]
+
+    def mixed(*parts):
+        h = parts[0] * 0x9E3779B97F4A7C15 & _M
+        for p in parts[1:]:
+            h = (h ^ p ^ h >> 29) * 0x9E3779B97F4A7C15 & _M
+        return h >> 46
+
+    found = [mixed(a) for a in w] + [mixed(a) for a in s] + [mixed(*p) for p in zip(w, w[1:])] + [mixed(*p) for p in zip(s, s[1:])] + [mixed(*p) for p in zip(s, s[1:], s[2:])] + [1 for a, b in zip(w, w[1:]) if a == b]
+    values = {k: np.log1p(found.count(k)) for k in sorted(set(found))}
+    size = sum(v * v for v in values.values()) ** 0.5
+    return {k: v / size for k, v in values.items()}
+
+
+def test_quality_matches_a_plain_learner(spark):
+    """Features, follow-the-regularised-leader updates and scores against dictionaries and single steps."""
+    rows = [(i, f"Good harbour, boats {i} and nets." if i % 2 else f"BUY BUY {i} $$$ now now", i % 2) for i in range(30)]
+    learned = [(y, *quality.features(t)) for _, t, y in rows]
+    for (_, t, _), (_, numbers, values) in zip(rows, learned):
+        assert dict(zip(numbers.tolist(), values.tolist())) == pytest.approx(_plain_features(t))
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.02, 0.1
+    z, n, bias = {}, {}, [0.0, 0.0]
+    at = lambda k: 0.0 if abs(z.get(k, 0.0)) <= l1 else (np.sign(z[k]) * l1 - z[k]) / ((beta + n[k] ** 0.5) / alpha + l2)
+    b = lambda: -bias[0] / ((beta + bias[1] ** 0.5) / alpha + l2)
+    order = np.random.default_rng(7)
+    for _ in range(quality.PASSES):
+        for i in order.permutation(len(rows)).tolist():
+            f = _plain_features(rows[i][1])
+            g0 = (1 + rows[i][2]) * (1 / (1 + np.exp(-(sum(at(k) * v for k, v in f.items()) + b()))) - rows[i][2])  # as many of both: good ones count twice
+            steps = {k: (g0 * v, at(k)) for k, v in f.items()}
+            for k, (g, w) in steps.items():
+                z[k] = z.get(k, 0.0) + g - ((n.get(k, 0.0) + g * g) ** 0.5 - n.get(k, 0.0) ** 0.5) / alpha * w
+                n[k] = n.get(k, 0.0) + g * g
+            here = b()
+            bias = [bias[0] + g0 - ((bias[1] + g0 * g0) ** 0.5 - bias[1] ** 0.5) / alpha * here, bias[1] + g0 * g0]
+    weights, offset = model = quality.learn(learned)
+    assert offset == pytest.approx(b(), abs=1e-6) and all(weights[k] == pytest.approx(at(k), abs=1e-5) for k in z)
+    said = [(1, None), (2, ""), (3, rows[0][1]), (4, rows[1][1] * 50), (4, "other words")]
+    got = quality.score(spark.createDataFrame(said, "doc_id long, text string"), model).collect()
+    for r, (_, t) in zip(got, said):
+        assert r.score == pytest.approx(1 / (1 + np.exp(-(sum(float(weights[k]) * v for k, v in _plain_features(t or "").items()) + offset))), abs=1e-6)
+
+
+def _plain_kernel(a, b):
+    """By definition: products of decayed occurrences of all triples of characters, gaps allowed, over the norms."""
+    def phi(w):
+        codes, out = toxicity._coded([w])[0].tolist(), {}
+        for i, j, k in itertools.combinations(range(len(w)), 3):
+            if k - i < toxicity.SPAN:
+                key = codes[i], codes[j], codes[k]
+                out[key] = out.get(key, 0.0) + toxicity.DECAY ** (k - i + 1)
+        return out
+    x, y = phi(a), phi(b)
+    return sum(v * y.get(k, 0.0) for k, v in x.items()) / (sum(v * v for v in x.values()) * sum(v * v for v in y.values())) ** 0.5
+
+
+def test_toxicity_matches_the_kernel(spark):
+    """Kernels by definition; the folded table gives the machine's margins on Nyström features; a text has its worst word's score."""
+    words = ["^idiot$", "^i.d.i.o.t$", "^idiiot$", "^thing$", "^idea$", "^hello$", "^ab$"]
+    marks = toxicity.Landmarks(words[:4])
+    assert np.allclose(marks.kernels(words), [[_plain_kernel(a, b) for b in words[:4]] for a in words], atol=1e-5)
+    weights = np.random.default_rng(2).normal(size=marks.root.shape[1])
+    table = marks.folded(weights)
+    assert np.allclose(toxicity._values(words, table), marks.features(words) @ weights, atol=1e-3)
+    model = (table, -0.25, 4.0, 0.5)
+    texts = [None, "", "a", "hello thing", "Hello idea i.d.i.o.t!", "the idiiot " + "thing " * 500]
+    got = toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r, t in zip(got, texts):
+        cores = [f"^{w.strip('!.')}$" for w in (t or "").lower().split()]
+        best = max([sum(float(f) * w for f, w in zip(marks.features([c])[0], weights)) - 0.25 for c in cores if len(c) >= 3], default=-3.0)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-(4.0 * max(best, -3.0) + 0.5))), abs=1e-3)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from pelagos.llm import exact_dedup, near_dedup, packing, pieces, pii, quality, simhash, toxicity, url_filter
+from pelagos.llm import chat, exact_dedup, near_dedup, packing, pieces, pii, quality, simhash, toxicity, url_filter
 from pelagos.llm import embedding_dedup
 from test_llm import EDGE
 
@@ -126,3 +126,78 @@ def test_run_keeps_rows_without_id_and_no_repeats(spark, tmp_path):
     folder = write(spark, tmp_path / "in", [(*r, None, None, None) for r in rows])
     got = corpus_pipeline.run(spark, folder).collect()
     assert sorted(r.doc_id or 0 for r in got) == [0, 0, 1, 2, 2]
+
+
+def _rows(found):
+    return sorted((repr((r.doc_id, r.text, r.lang, r.source, r.n_chars)) for r in found))
+
+
+def test_each_stage_against_brute_force(spark, tmp_path):
+    """Whole rows of every stage, with null and repeated ids, repeated rows, null texts, ties, and columns that clash."""
+    draw = np.random.default_rng(9)
+    prose = [" ".join(f"w{k}" for k in draw.integers(0, 400, 60)) for _ in range(12)]
+    rows = [(i, t, "en", "s", None) for i, t in enumerate(prose)] + [(3, prose[3], "en", "s", None), (None, prose[4].replace(" ", "  "), None, "s", 1), (None, "alone here", None, None, None), (None, "alone here", None, None, None)]
+    rows += [(20, prose[0] + " tail", "en", "s", None), (21, prose[1].upper(), "en", "s", None), (5, "another text of id five", "en", "t", None), (22, None, "en", "s", None), (23, "", "en", "s", None)]
+    rows += [(24, "mail jo.81@mail7.example.com or JO.81@mail7.example.com", "en", "s", None), (24, "mail jo.81@mail7.example.com or JO.81@mail7.example.com", "en", "s", None), (25, "BUY!!! $$$ 4u " * 40, "en", "s", None)]
+    folder = write(spark, tmp_path / "in", rows, [(i, 1, 0) for i in range(12)] + [(25, 0, 0), (24, 1, 0), (22, 1, 0), (None, 0, 0)])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    clash = lambda d: d.selectExpr("*", "text AS score", "doc_id AS row", "text AS _row", "lang AS key", "text AS entities", "doc_id AS node", "text AS bands")
+
+    def after(name, df):
+        out = stages[name](spark, df, folder)
+        assert out.columns == list(corpus_pipeline.COLUMNS)
+        assert _rows(out.collect()) == _rows(stages[name](spark, clash(df), folder).collect())
+        out.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name)), out.collect()
+
+    weights, bias = quality.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"), quality.F.lit(True))
+    good = lambda t: 1 / (1 + np.exp(-(sum(float(weights[k]) * v for k, v in zip(*quality.features(t or ""))) + bias))) >= quality.THRESHOLD
+    kept, got = after("quality", docs)
+    want = [r for r in docs.collect() if good(r.text)]
+    assert _rows(got) == _rows(want) and 25 not in {r.doc_id for r in got} and len(got) < len(rows)
+
+    plain = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    order = lambda r: (r.doc_id is None, r.doc_id or 0)
+    one = {}
+    for r in sorted(want, key=order):
+        one.setdefault(plain(r.text), r)
+    kept, got = after("exact_dedup", kept)
+    key = lambda rs: sorted((order(r), plain(r.text)) for r in rs)
+    assert key(got) == key(one.values())
+
+    shingles = lambda t: (lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})(re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()))
+    top = list(range(len(got)))
+    sets = [shingles(r.text) for r in got]
+    for a, b in itertools.combinations(range(len(got)), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and top[a] != top[b]:
+            top = [top[a] if x == top[b] else x for x in top]
+    first = {}
+    for r, c in zip(got, top):
+        first[c] = min(first.get(c, r), r, key=order)
+    kept, got = after("simhash", kept)
+    assert _rows(got) == _rows(first.values()) and len(got) < len(one)
+
+    spark.conf.set(pii.KEY_SETTING, "tests")
+    try:
+        want = sorted(repr((r.doc_id, r.text and pii.replaced(r.text, b"tests")[0])) for r in got)
+        kept, got = after("pii", kept)
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert sorted(repr((r.doc_id, r.text)) for r in got) == want and all(r.n_chars == (None if r.text is None else len(r.text)) for r in got)
+
+    encoder = packing.encoder()
+    ids = [encoder._raw([r.text or ""])[0] + (1).to_bytes(4, "little") for r in got]
+    packed = stages["packing"](spark, kept, folder).collect()
+    assert sorted(repr((r.doc_id, r.ids_crc32, r.length)) for r in packed) == sorted(repr((r.doc_id, zlib.crc32(x), len(x) // 4)) for r, x in zip(got, ids))
+    for s in {r.sequence_id for r in packed}:
+        mine = sorted((r.offset, r.length) for r in packed if r.sequence_id == s)
+        assert [o for o, _ in mine] == [sum(n for _, n in mine[:k]) for k in range(len(mine))] and sum(n for _, n in mine) <= packing.WINDOW
+
+
+def test_clashing_columns_of_paths(spark):
+    nodes = spark.createDataFrame([(1, 1, None, "user", "a", 1.0, "x", "y"), (1, 2, 1, "assistant", None, None, "x", "y")], "tree long, node long, parent long, role string, text string, score double, rank string, formatted string")
+    assert [(r.leaf, r.n_turns) for r in chat.format_paths(nodes).collect()] == [(2, 2)]
+    turns = spark.createDataFrame([(1, 0, "user", "a", 5), (1, 0, "user", "a", 5), (None, None, None, None, None)], "conv_id long, turn long, role string, text string, node long")
+    assert sorted(r.n_turns for r in chat.digests(chat.format_paths(chat.chain(turns))).collect()) == [1, 2]
+    assert chat.digests(chat.format_paths(chat.reply_trees(turns.limit(0))), ("rank",)).count() == 0
