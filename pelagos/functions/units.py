@@ -17,7 +17,25 @@ DERIVED = {
     "L": (1e-3, 0.0, {"L": 3}), "l": (1e-3, 0.0, {"L": 3}), "min": (60.0, 0.0, {"T": 1}), "h": (3600.0, 0.0, {"T": 1}), "d": (86400.0, 0.0, {"T": 1}), "day": (86400.0, 0.0, {"T": 1}), "t": (1000.0, 0.0, {"M": 1}),
     "psu": (1e-3, 0.0, {}), "0/00": (1e-3, 0.0, {}), "%": (1e-2, 0.0, {}), "kt": (1852 / 3600, 0.0, {"L": 1, "T": -1}), "knot": (1852 / 3600, 0.0, {"L": 1, "T": -1}),
 }
+_SI = {
+    "Hz": ({"T": -1}, "hertz becquerel Bq"), "N": ({"M": 1, "L": 1, "T": -2}, "newton"), "Pa": ({"M": 1, "L": -1, "T": -2}, "pascal"), "J": ({"M": 1, "L": 2, "T": -2}, "joule"), "W": ({"M": 1, "L": 2, "T": -3}, "watt"),
+    "C": ({"I": 1, "T": 1}, "coulomb"), "V": ({"M": 1, "L": 2, "T": -3, "I": -1}, "volt"), "F": ({"M": -1, "L": -2, "T": 4, "I": 2}, "farad"), "ohm": ({"M": 1, "L": 2, "T": -3, "I": -2}, "Ω"), "S": ({"M": -1, "L": -2, "T": 3, "I": 2}, "siemens mho"),
+    "Wb": ({"M": 1, "L": 2, "T": -2, "I": -1}, "weber"), "T": ({"M": 1, "T": -2, "I": -1}, "tesla"), "H": ({"M": 1, "L": 2, "T": -2, "I": -2}, "henry"), "lm": ({"J": 1}, "lumen"), "lx": ({"J": 1, "L": -2}, "lux"),
+    "Gy": ({"L": 2, "T": -2}, "gray Sv sievert"), "kat": ({"N": 1, "T": -1}, "katal"), "m": ({"L": 1}, "metre meter"), "s": ({"T": 1}, "second sec"), "K": ({"K": 1}, "kelvin"), "A": ({"I": 1}, "ampere"), "mol": ({"N": 1}, "mole"), "cd": ({"J": 1}, "candela"), "rad": ({}, "radian sr steradian"),
+}
+_OTHERS = {
+    "L": {"nmile": 1852.0, "nautical_mile": 1852.0, "ft": 0.3048, "foot": 0.3048, "feet": 0.3048, "inch": 0.0254, "yd": 0.9144, "yard": 0.9144, "mile": 1609.344, "fathom": 1.8288, "au": 149_597_870_700.0},
+    "T": {"minute": 60.0, "hour": 3600.0, "hr": 3600.0, "week": 604_800.0, "year": 31_556_925.9747}, "M": {"gram": 1e-3, "kilogram": 1.0, "tonne": 1000.0, "pound": 0.45359237, "ounce": 0.028349523125},
+    "": {"arcmin": 0.0002908882086657216, "arcsec": 4.84813681109536e-06, "percent": 1e-2, "ppm": 1e-6, "ppb": 1e-9, "ppt": 1e-12, "ppth": 1e-3, "count": 1.0, "dimensionless": 1.0, "turn": 6.283185307179586},
+}
+_PRESSURE = {"psi": 6894.757293168361, "atm": 101_325.0, "mmHg": 133.322387415, "torr": 101_325 / 760}
+DERIVED |= {n: (1.0, 0.0, dims) for symbol, (dims, names) in _SI.items() for n in [symbol, *names.split()] if n not in BASE}
+DERIVED |= {n: (f, 0.0, {d: 1} if d else {}) for d, some in _OTHERS.items() for n, f in some.items()}
+DERIVED |= {n: (f, 0.0, {"M": 1, "L": -1, "T": -2}) for n, f in _PRESSURE.items()}
+DERIVED |= {"°F": (5 / 9, 459.67 * 5 / 9, {"K": 1}), "degF": (5 / 9, 459.67 * 5 / 9, {"K": 1}), "litre": (1e-3, 0.0, {"L": 3}), "liter": (1e-3, 0.0, {"L": 3}), "ha": (1e4, 0.0, {"L": 2}), "eV": (1.602176634e-19, 0.0, {"M": 1, "L": 2, "T": -2})}
 PREFIX = {"Y": 1e24, "Z": 1e21, "E": 1e18, "P": 1e15, "T": 1e12, "G": 1e9, "M": 1e6, "k": 1e3, "h": 1e2, "da": 1e1, "d": 1e-1, "c": 1e-2, "m": 1e-3, "u": 1e-6, "µ": 1e-6, "μ": 1e-6, "n": 1e-9, "p": 1e-12, "f": 1e-15, "a": 1e-18}
+LOGS = {"lg": 10.0, "ln": 2.718281828459045, "lb": 2.0}
+_LOG = re.compile(r"\s*(?:(\d+(?:\.\d+)?)\s+)?(lg|ln|lb)\(re:?\s+(.+)\)\s*")
 _TOKEN = re.compile(r"\s*(0/00|\d+(?:\.\d*)?(?:[eE][-+]?\d+)?|[^\W\d_]+|[°%][^\W\d_]*|\^|\*\*|[-+]\d+|[./*()@])")
 
 
@@ -26,6 +44,8 @@ class Unit:
     scale: float
     shift: float
     dims: tuple[tuple[str, int], ...]
+    #: (base, how much of a logarithm a unit is), for levels above the reference that scale and dims tell.
+    log: tuple[float, float] | None = None
 
     def times(self, other: Unit, sign: int = 1) -> Unit:
         dims = dict(self.dims)
@@ -51,7 +71,11 @@ def _simple(name: str) -> Unit:
 
 
 def parse(text: str) -> Unit:
-    """Products (space, dot, star), quotients, exponents (``m2``, ``m^2``, ``s-1``), brackets, numbers, ``@`` shifts."""
+    """Products (space, dot, star), quotients, exponents (``m2``, ``m^2``, ``s-1``), brackets, numbers, ``@`` shifts;
+    logarithms to a reference, such as ``0.1 lg(re 1 mW)``."""
+    if m := _LOG.fullmatch(text):
+        of = parse(m[3])
+        return Unit(of.scale, of.shift, of.dims, (LOGS[m[2]], float(m[1] or 1)))
     tokens, at = [], 0
     while at < len(text.rstrip()):
         if not (m := _TOKEN.match(text, at)):
@@ -128,7 +152,10 @@ def convert(value: Column, source: str | None, target: str | None) -> Column:
     a, b = parse(source), parse(target)
     if a.dims != b.dims:
         raise ValueError(f"{source} and {target} are not compatible")
-    return (value * a.scale + (a.shift - b.shift)) / b.scale
+    if not a.log and not b.log:
+        return (value * a.scale + (a.shift - b.shift)) / b.scale
+    plain = F.pow(F.lit(a.log[0]), value * a.log[1]) * a.scale if a.log else value * a.scale + a.shift
+    return F.log(plain / b.scale) / F.log(F.lit(b.log[0])) / b.log[1] if b.log else (plain - b.shift) / b.scale
 
 
 def factors(spark: SparkSession, units: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from pelagos.functions import cron, geo, text
+from pelagos.functions import cron, geo, text, units
 from pelagos.operators import filters, joins, suites
 from pelagos.streaming import ingest
 
@@ -91,3 +91,15 @@ def test_runs_of_many_suites_are_cut(spark):
     run = suites.run(spark.createDataFrame(rows, schema), [suites.Suite(f"s{k}", suites.increasing()) for k in range(4)])
     assert [(r.test_name, r.level_idx) for r in run[1].collect()] == [("s0", 2)]
     assert sorted((r.test_name, r.result) for r in run[2].collect()) == [("s0", "F"), ("s1", "P"), ("s2", "P"), ("s3", "P")]
+
+
+@pytest.mark.parametrize("value, a, b, want", [
+    (1, "nmile", "m", 1852), (212, "°F", "°C", 100), (1, "atm", "dbar", 10.1325), (1, "mho cm-1", "S m-1", 100), (2, "kilogram", "gram", 2000), (1, "uF", "F", 1e-6), (30, "0.1 lg(re 1 mW)", "W", 1), (2, "W", "0.1 lg(re 1 mW)", 33.0103),
+    (1, "lg(re 1 mW)", "0.1 lg(re 1 mW)", 10), (3, "lb(re 1 Pa)", "Pa", 8), (100, "ppm", "%", 0.01),
+])
+def test_more_units(spark, value, a, b, want):
+    assert spark.range(1).select(units.convert(F.lit(float(value)), a, b)).first()[0] == pytest.approx(want, rel=1e-5)
+
+
+def test_logarithms_keep_their_dimensions():
+    assert units.compatible("0.1 lg(re 1 mW)", "W") and not units.compatible("lg(re 1 mW)", "Pa") and not units.valid("lg(re 1 foo)") and not units.valid("smbar")
