@@ -1,4 +1,4 @@
-"""BUFR messages of editions 3 and 4, by tables that the caller gives (S20, S20b, S20d).
+"""BUFR messages of editions 3 and 4, by tables that the caller gives (S20, S20a-S20d).
 
 Tables are data, not code: ``B`` is {descriptor: (name, units, scale, reference, width)}, ``D`` {descriptor: [descriptors]},
 descriptors being six digits. A message is decoded by one task; one that cannot be read is a row with ``malformed``.
@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 TableB = dict[str, tuple[str, str, int, int, int]]
 TableD = dict[str, list[str]]
@@ -209,3 +210,55 @@ def decoded(files: DataFrame, b: TableB, d: TableD, content: str = "content") ->
                         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
     return files.select("path", content).mapInArrow(run, SCHEMA)
+
+#: Descriptors of year, month, day, hour, minute, second, and those of a platform's region, number and buoy.
+CLOCK = ("004001", "004002", "004003", "004004", "004005", "004006")
+REGION, BLOCK, BUOY, STATION = "001003", "001001", "001005", "001002"
+#: Kelvin to degrees: what instructions may ask for instead of the table's units.
+KELVIN = 273.15
+
+
+def elements(found: DataFrame, instructions: dict[str, dict], set_type: str = "PROFILE") -> DataFrame:
+    """Decoded values as elements in long format, by instructions: {descriptor: {"do": ..., "scope", "name", "units", "map"}}.
+
+    do: ``set`` (an element of the level, or of the record where there is none), ``record`` (of the record wherever it stands),
+    ``noop`` (left out), ``error`` (the record is refused: none of its values comes). Descriptors without an instruction
+    are left out, as are missing values. ``map`` turns codes into texts. A value met again at the same place is a further value.
+    Dates that are there down to the day give a Time, numbers of stations and buoys a WMOID. A record is a subset of a message.
+    """
+    good = found.where("malformed is null").withColumn("record_id", F.concat_ws("|", "path", "message_idx", "subset"))
+    refused = [k for k, v in instructions.items() if v["do"] == "error"]
+    if refused:
+        good = good.join(good.where(F.col("descriptor").isin(refused)).select("record_id").distinct(), "record_id", "left_anti")
+    text = F.coalesce("value_txt", F.col("value_num").cast("string"))
+    parts = []
+    for descriptor, rule in instructions.items():
+        if rule["do"] not in ("set", "record"):
+            continue
+        value, number = text, F.col("value_num")
+        if rule.get("map"):
+            known = F.create_map(*[F.lit(x) for k, v in rule["map"].items() for x in (str(k), str(v))])
+            value, number = F.try_element_at(known, number.cast("int").cast("string")), F.lit(None).cast("double")
+        elif rule.get("units") == "degC":
+            number = F.round(number - KELVIN, 6)
+            value = number.cast("string")
+        top = F.col("level_idx").isNull() | F.lit(rule["do"] == "record")
+        own = lambda c, t, top=top: F.when(~top, F.col(c)).cast(t)
+        parts.append(good.where(F.col("descriptor") == descriptor).select(
+            "record_id", F.when(~top, F.lit(set_type)).alias("set_type"), F.when(~top, F.lit(0)).alias("set_idx"), own("level_idx", "int").alias("level_idx"), F.lit(rule["scope"]).alias("scope"), F.lit(rule["name"]).alias("name"), "place",
+            number.alias("value_num"), value.alias("value_txt"), F.lit(rule.get("units")).cast("string").alias("units")))
+    at = {c: F.max(F.when(F.col("descriptor") == c, F.col("value_num"))).cast("int") for c in (*CLOCK, REGION, BLOCK, BUOY, STATION)}
+    tops = good.where(F.col("descriptor").isin(*at)).groupBy("record_id").agg(*[v.alias(f"d{c}") for c, v in at.items()])
+    clock = [F.col(f"d{c}") for c in CLOCK[:3]] + [F.coalesce(f"d{c}", F.lit(0)) for c in CLOCK[3:]]
+    time = F.date_format(F.try_make_timestamp(*clock), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    buoy = F.concat(F.coalesce(F.col(f"d{REGION}").cast("string"), F.lit("")), F.lpad(F.col(f"d{BUOY}").cast("string"), 5, "0"))
+    station = F.concat(F.lpad(F.col(f"d{BLOCK}").cast("string"), 2, "0"), F.lpad(F.col(f"d{STATION}").cast("string"), 3, "0"))
+    null = lambda t: F.lit(None).cast(t)
+    for scope, name, value in (("coordinates", "Time", time), ("metadata", "WMOID", F.coalesce(buoy, station))):
+        parts.append(tops.select("record_id", null("string").alias("set_type"), null("int").alias("set_idx"), null("int").alias("level_idx"), F.lit(scope).alias("scope"), F.lit(name).alias("name"), F.lit(-1).alias("place"), null("double").alias("value_num"), value.alias("value_txt"), null("string").alias("units")))
+    whole = parts[0]
+    for more in parts[1:]:
+        whole = whole.unionByName(more)
+    order = Window.partitionBy("record_id", "set_type", "set_idx", "level_idx", "scope", "name").orderBy("place")
+    placed = whole.where("value_txt is not null").withColumn("value_idx", (F.row_number().over(order) - 1).cast("int"))
+    return placed.select("record_id", "set_type", "set_idx", "level_idx", "scope", "name", "value_idx", "value_num", "value_txt", "units", null("int").alias("quality"), null("int").alias("working_quality"), null("double").alias("uncertainty"))

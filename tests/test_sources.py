@@ -63,6 +63,15 @@ def test_files_of_messages(spark):
     assert levels == [(0, 0.0), (1, 10.0), (2, 25.0)]
 
 
+def test_values_become_elements(spark):
+    b = B | {c: (n, "NUMERIC", 0, 0, w) for c, n, w in (("004001", "YEAR", 12), ("004002", "MONTH", 4), ("004003", "DAY", 6), ("004004", "HOUR", 5), ("001005", "BUOY", 17), ("001003", "REGION", 3))}
+    whole = message(["004001", "004002", "004003", "004004", "001003", "001005", "002002", "306099"], [(2024, 12), (2, 4), (29, 6), (6, 5), (4, 3), (123, 17), (3, 4), (2, 8), (0, 17), (28515, 15), (100, 17), (28000, 15)])
+    found = bufr.decoded(spark.createDataFrame([("a", whole + PROFILE)], "path string, content binary"), b, D)
+    rules = {"007062": {"do": "set", "scope": "coordinates", "name": "Depth", "units": "m"}, "022043": {"do": "set", "scope": "parameters", "name": "Temperature", "units": "degC"}, "002002": {"do": "record", "scope": "metadata", "name": "Type", "map": {3: "drifter"}}, "031001": {"do": "noop"}, "001011": {"do": "error"}}
+    got = sorted(((r.record_id, r.level_idx if r.level_idx is not None else -1, r.name, r.value_txt, r.units) for r in bufr.elements(found, rules).collect()))
+    assert got == [("a|0|0", -1, "Time", "2024-02-29T06:00:00Z", None), ("a|0|0", -1, "Type", "drifter", None), ("a|0|0", -1, "WMOID", "400123", None), ("a|0|0", 0, "Depth", "0.0", "m"), ("a|0|0", 0, "Temperature", "12.0", "degC"), ("a|0|0", 1, "Depth", "10.0", "m"), ("a|0|0", 1, "Temperature", "6.85", "degC")]
+
+
 def test_types_of_messages():
     known = {"profile": ["001001", "301099", "306099"], "surface": ["001001", "022043"]}
     assert bufr.kind(["001001", "022043"], known, D) == "surface"
