@@ -223,7 +223,7 @@ def _fix_elements(spark, d, identifiers: bool = False) -> DataFrame:
 def station_suite(spark, d):
     even = _t(spark, d, "customer").where("c_custkey % 2 = 0").select(F.concat(F.lit("u"), "c_custkey").alias("platform_uuid"), F.lit("WMOID").alias("name"), F.col("c_custkey").cast("string").alias("value"))
     platforms = even.unionByName(spark.range(1).select(F.lit("u7").alias("platform_uuid"), F.lit("Call").alias("name"), F.lit("click").alias("value")))
-    run = suites.run(_fix_elements(spark, d, True), [suites.Suite("nodb_station_check", suites.station(platforms, ["WMOID", "Call"], needed=("WMOID",)))])
+    run = suites.run(_fix_elements(spark, d, True), [suites.Suite("station_check", suites.station(platforms, ["WMOID", "Call"], needed=("WMOID",)))])
     return run[1].select("record_id", "code")
 
 
@@ -232,13 +232,13 @@ def station_suite(spark, d):
   SELECT event_id AS record_id, 'speed_too_fast' AS code FROM s WHERE speed > CASE WHEN user_id % 3 = 0 THEN 900 WHEN user_id % 3 = 1 THEN 1e30 ELSE 40 END""")
 def speed_suite(spark, d):
     own = _t(spark, d, "events").select("user_id").distinct().where("user_id % 3 < 2").select(F.concat(F.lit("u"), "user_id").alias("platform"), F.when(F.col("user_id") % 3 == 0, F.lit(900.0)).alias("top_speed"))
-    return suites.run(_fix_elements(spark, d), [suites.Suite("gtspp_speed_check", suites.top_speed(own=own))])[1].select("record_id", "code")
+    return suites.run(_fix_elements(spark, d), [suites.Suite("speed_check", suites.top_speed(own=own))])[1].select("record_id", "code")
 
 
 @query("SELECT event_id AS record_id, 'manual_review_required' AS code, NULL::INT AS flag FROM events WHERE user_id % 5 = 0")
 def mandatory_suite(spark, d):
     flagged = _t(spark, d, "events").where("user_id % 5 = 0").select(F.concat(F.lit("u"), "user_id").alias("platform_uuid"))
-    return suites.run(_fix_elements(spark, d), [suites.Suite("gtspp_mandatory_review", suites.mandatory_review(flagged))])[1].select("record_id", "code", "flag")
+    return suites.run(_fix_elements(spark, d), [suites.Suite("mandatory_review", suites.mandatory_review(flagged))])[1].select("record_id", "code", "flag")
 
 
 @query("""WITH e AS (SELECT user_id, event_id, ts, CAST(value AS VARCHAR) AS v FROM events), n AS (SELECT a.event_id AS a, b.event_id AS b FROM e a JOIN e b ON a.user_id = b.user_id AND a.event_id < b.event_id AND abs(epoch_us(a.ts) - epoch_us(b.ts)) <= 3600000000)
@@ -247,7 +247,7 @@ def dupe_suite(spark, d):
     found = _fix_elements(spark, d)
     here = F.when(F.col("name").isin("Latitude", "Longitude"), "10").otherwise(F.col("value_txt"))
     found = found.withColumns({"value_txt": here, "value_num": here.try_cast("double")})
-    run = suites.run(found, [suites.Suite("nodb_dupe_check", suites.duplicates(compare.verdicts, seconds=3600))])
+    run = suites.run(found, [suites.Suite("duplicate_check", suites.duplicates(compare.verdicts, seconds=3600))])
     return run[1].select("record_id", "code")
 
 
@@ -394,11 +394,11 @@ def range_suite(spark, d):
     top = found.select("record_id").distinct().select("record_id", F.explode(F.array(F.lit("Latitude"), F.lit("Longitude"))).alias("name"))
     null = lambda t: F.lit(None).cast(t)
     tops = top.select("record_id", null("string").alias("set_type"), null("int").alias("set_idx"), null("int").alias("level_idx"), F.lit("coordinates").alias("scope"), "name", F.lit(0).alias("value_idx"), F.lit(1.0).alias("value_num"), F.lit("1").alias("value_txt"), null("string").alias("units"), null("int").alias("quality"), null("int").alias("working_quality"), null("double").alias("uncertainty"))
-    return suites.run(found.unionByName(tops), [suites.Suite("gtspp_range_check", suites.ranges([("Load", 5, 45, None)]))])[1].select("record_id", "level_idx", "code")
+    return suites.run(found.unionByName(tops), [suites.Suite("range_check", suites.ranges([("Load", 5, 45, None)]))])[1].select("record_id", "level_idx", "code")
 
 
 @query(f"WITH x AS (SELECT l_orderkey AS record_id, level AS level_idx, l_quantity - 25 AS t, 30 AS s, l_extendedprice / 1000 AS p FROM {_LINES}) SELECT record_id, level_idx, 'below_freezing' AS code FROM x WHERE t <= 0 AND t < -0.0575 * s + 1.710523e-3 * pow(s, 1.5) - 2.154996e-4 * s * s - 7.53e-4 * p")
 def freezing_suite(spark, d):
     lines = _lines(spark, d).withColumns({"t": F.col("l_quantity") - 25, "s": F.lit(30), "p": F.col("l_extendedprice") / 1000})
     found = _elements(lines, "l_orderkey", "level", [("parameters", "Temperature", "t"), ("parameters", "PracticalSalinity", "s"), ("coordinates", "Pressure", "p")])
-    return suites.run(found, [suites.Suite("gtspp_freezing_point_check", suites.freezing)])[1].select("record_id", "level_idx", "code")
+    return suites.run(found, [suites.Suite("freezing_point_check", suites.freezing)])[1].select("record_id", "level_idx", "code")
