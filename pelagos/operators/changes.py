@@ -31,6 +31,14 @@ def deleted(table: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
     return table.join(gone.select(*keys), keys, "left_anti").select(*table.columns)
 
 
+def touched(before: DataFrame, after: DataFrame, keys: list[str], now: Column, modified: str = "modified") -> DataFrame:
+    """after with ``modified`` set to now in rows that are new or in which any other column has another value, and kept in others."""
+    rest = [c for c in after.columns if c not in (*keys, modified)]
+    old = before.select(*keys, F.struct(*[F.col(c) for c in rest]).alias("_old"), F.col(modified).alias("_when"))
+    same = F.col("_old").isNotNull() & F.col("_old").eqNullSafe(F.struct(*[F.col(c) for c in rest]))
+    return after.join(old, keys, "left").withColumn(modified, F.when(same, F.col("_when")).otherwise(now)).select(*dict.fromkeys([*after.columns, modified]))
+
+
 def newest(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row a key, the last in order: what upserts on a conflict leave behind."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order]))

@@ -1,4 +1,4 @@
-"""The work queue as tables: entries, locks, a status machine over events, retention, steps (O2, O5-O7, R-1 to R-5, R-8, R-9, M7).
+"""The work queue as tables: entries, locks, a status machine over events, retention, steps (O2, O5-O7, R-1 to R-5, R-7 to R-9, M7).
 
 items: item, queue, subqueue, unique_name, priority, created, status, locked_by, since, release, level. A single writer
 replaces the table; there are no row locks.
@@ -70,6 +70,11 @@ def on_error(code: Column, transient: Column) -> Column:
     return F.when(code.startswith("08"), "ABANDON").when(transient | code.isin("40001", "40P01"), "RETRY").otherwise("FAIL")
 
 
+def wait(attempt: Column, first: float = 0.25, most: float = 128.0) -> Column:
+    """Seconds until a queue that was empty so many times in a row is asked again: doubled each time, up to the most."""
+    return F.least(F.lit(most), F.lit(first) * F.pow(F.lit(2.0), F.least(attempt, F.lit(60))))
+
+
 def listing(items: DataFrame) -> DataFrame:
     """(queue, status, n, oldest, place): statuses of each queue, the largest first."""
     counts = items.groupBy("queue", "status").agg(F.count(F.lit(1)).alias("n"), F.min("since").alias("oldest"))

@@ -31,6 +31,32 @@ class Suite:
     find: Callable[[DataFrame], DataFrame]
     version: str = "1.0"
     tags: tuple[str, ...] = ()
+    #: The order of records that the suite needs, if any.
+    order: str | None = None
+
+
+#: Suites by name, as registered.
+REGISTRY: dict[str, Suite] = {}
+
+
+def suite(name: str, version: str = "1.0", tags: tuple[str, ...] = (), order: str | None = None) -> Callable[[Callable[[DataFrame], DataFrame]], Suite]:
+    """Registers a function from elements to findings as a suite; a name is taken once."""
+
+    def add(find: Callable[[DataFrame], DataFrame]) -> Suite:
+        if name in REGISTRY:
+            raise ValueError(f"there is a suite {name}")
+        REGISTRY[name] = Suite(name, find, version, tags, order)
+        return REGISTRY[name]
+
+    return add
+
+
+def agreed_order(suites: list[Suite]) -> str | None:
+    """The one order that suites of a run need; two that differ are an error."""
+    wanted = sorted({s.order for s in suites if s.order})
+    if len(wanted) > 1:
+        raise ValueError(f"suites want different orders: {', '.join(wanted)}")
+    return wanted[0] if wanted else None
 
 
 def tested(elements: DataFrame, dubious: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import cron, geo, ocean, text, uncertainty, units
 from ..functions.uncertainty import measured
 from ..operators import changes, compare, filters, profiles, queue, rollups, store, suites
-from ..sources import records
+from ..sources import mapped, records
 from .catalogue import _FIXES, _LINES, _elements, _fixes, _lines, _t, query
 
 _NOW = "timestamp'2024-01-20 00:00:00'"
@@ -402,3 +402,40 @@ def freezing_suite(spark, d):
     lines = _lines(spark, d).withColumns({"t": F.col("l_quantity") - 25, "s": F.lit(30), "p": F.col("l_extendedprice") / 1000})
     found = _elements(lines, "l_orderkey", "level", [("parameters", "Temperature", "t"), ("parameters", "PracticalSalinity", "s"), ("coordinates", "Pressure", "p")])
     return suites.run(found, [suites.Suite("freezing_point_check", suites.freezing)])[1].select("record_id", "level_idx", "code")
+
+
+@query("SELECT o_orderkey, least(128.0, 0.25 * pow(2, o_orderkey % 12)) AS seconds FROM orders")
+def poll_waits(spark, d):
+    return _t(spark, d, "orders").select("o_orderkey", queue.wait(F.col("o_orderkey") % 12).alias("seconds"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment ELSE 'NEW' END AS c_mktsegment, CASE WHEN c_custkey % 2 = 1 OR c_custkey % 10 = 4 THEN 'now' ELSE 'then' END AS modified FROM customer")
+def modified_dates(spark, d):
+    table = _t(spark, d, "customer").select("c_custkey", "c_mktsegment", F.lit("then").alias("modified"))
+    after = table.withColumn("c_mktsegment", F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).otherwise("NEW"))
+    return changes.touched(table.where("c_custkey % 10 != 4"), after, ["c_custkey"], F.lit("now"))
+
+
+@query(f"""SELECT l_orderkey AS record_id, level AS level_idx, 'Load' AS name, CASE WHEN level % 2 = 0 THEN l_tax ELSE l_quantity END AS value_num, CAST(l_linestatus = 'F' AS INT) AS quality, 'kg' AS units FROM {_LINES}
+  UNION ALL SELECT DISTINCT l_orderkey, NULL::INT, 'Title', NULL, NULL, NULL FROM lineitem""")
+def columnar_mapping(spark, d):
+    table = _lines(spark, d).select("l_orderkey", "level", F.when(F.col("level") % 2 == 1, F.col("l_quantity")).alias("LOAD_ADJUSTED"), F.col("l_tax").alias("LOAD"), F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("LOAD_QC"))
+    rules = [{"name": "Load", "scope": "parameters", "source": "var:LOAD_ADJUSTED|var:LOAD", "quality": "var:LOAD_QC", "units": "attribute:LOAD.units"}, {"name": "Title", "scope": "metadata", "source": "globalvar:title"}]
+    return mapped.elements(table, "l_orderkey", "level", rules, {"LOAD.units": "kg", "title": "lines"}).select("record_id", "level_idx", "name", "value_num", "quality", "units")
+
+
+@query("SELECT event_id, 'SENSOR_' || CASE WHEN event_type IN ('click', 'view') THEN 'CTD' ELSE 'OTHER' END || '_' || user_id AS sensor FROM events")
+def sensor_keys(spark, d):
+    named = F.when(F.col("event_type").isin("click", "view"), F.lit("TEMP")).otherwise(F.col("event_type"))
+    held = _t(spark, d, "events").select(F.concat_ws("|", named, "event_id").alias("variable"), F.col("user_id").cast("string").alias("sensor_name"))
+    return mapped.sensors(held).select(F.substring_index("variable", "|", -1).cast("long").alias("event_id"), "sensor")
+
+
+@query(f"SELECT l_orderkey AS record_id, count(*) + 1 AS n_lines, md5(string_agg('PROFILE/0/' || level || ' Flag=' || l_returnflag || CASE WHEN l_linestatus = 'F' THEN ' [4]' ELSE '' END, chr(10) ORDER BY level)) AS digest FROM {_LINES} GROUP BY 1")
+def record_lines(spark, d):
+    found = _elements(_lines(spark, d), "l_orderkey", "level", [("parameters", "Flag", "l_returnflag"), ("parameters", "State", "l_linestatus")])
+    flags = found.where("name = 'State' AND value_txt = 'F'").select("record_id", "level_idx", F.lit(4).alias("flag"))
+    held = found.where("name = 'Flag'").join(flags, ["record_id", "level_idx"], "left").withColumn("working_quality", F.col("flag")).select(*found.columns)
+    top = held.where("level_idx = 1").withColumns({"level_idx": F.lit(None).cast("int"), "set_type": F.lit(None).cast("string"), "set_idx": F.lit(None).cast("int"), "name": F.lit("Title"), "scope": F.lit("metadata")})
+    lines = mapped.shown(held.unionByName(top)).groupBy("record_id").agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("h"))
+    return lines.select("record_id", F.size("h").cast("long").alias("n_lines"), F.md5(F.array_join(F.slice(F.col("h.line"), 2, 100_000), "\n")).alias("digest"))

@@ -103,3 +103,18 @@ def test_more_units(spark, value, a, b, want):
 
 def test_logarithms_keep_their_dimensions():
     assert units.compatible("0.1 lg(re 1 mW)", "W") and not units.compatible("lg(re 1 mW)", "Pa") and not units.valid("lg(re 1 foo)") and not units.valid("smbar")
+
+
+def test_suites_are_registered_once_and_agree_on_an_order():
+    name = "a suite of the tests"
+    made = suites.suite(name, "2.0", order="time")(suites.increasing())
+    try:
+        assert suites.REGISTRY[name] is made and made.version == "2.0"
+        with pytest.raises(ValueError, match="there is"):
+            suites.suite(name)(suites.increasing())
+        other = suites.Suite("b", suites.increasing(), order="depth")
+        assert suites.agreed_order([made, suites.Suite("c", suites.increasing())]) == "time" and suites.agreed_order([]) is None
+        with pytest.raises(ValueError, match="different orders"):
+            suites.agreed_order([made, other])
+    finally:
+        suites.REGISTRY.pop(name)
