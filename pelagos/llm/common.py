@@ -32,9 +32,9 @@ def _files(spark: SparkSession, path: str) -> tuple:
 
 def _write(df: DataFrame) -> tuple[DataFrame, str]:
     path = scratch(df.sparkSession)
-    files, at = _files(df.sparkSession, path)
-    files.deleteOnExit(at)
     df.write.parquet(path)
+    files, at = _files(df.sparkSession, path)
+    files.deleteOnExit(at)  # takes only what is there already
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

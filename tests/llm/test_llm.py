@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import oracle
-from pelagos.llm import chat, embedding_dedup, exact_dedup, graph, labelled, packing, pieces, pii, quality, queries, simhash, toxicity, url_filter
+from pelagos.llm import chat, common, embedding_dedup, exact_dedup, graph, labelled, packing, pieces, pii, quality, queries, simhash, toxicity, url_filter
 from pelagos.llm.common import Tables
 
 EDGE = [(1, None, "a"), (2, "", "b"), (3, " \t\n ", "c"), (4, "same  text", "d"), (5, "same text", None), (5, "same text", None), (None, "same\ttext", "f"), (6, "x" * 9000 + " y", "g"), (7, "x" * 9000 + "  y", "h"), (8, "x" * 9000 + " z", "i")]
@@ -463,3 +463,28 @@ def test_toxicity_matches_the_kernel(spark):
         cores = [f"^{w.strip('!.')}$" for w in (t or "").lower().split()]
         best = max([sum(float(f) * w for f, w in zip(marks.features([c])[0], weights)) - 0.25 for c in cores if len(c) >= 3], default=-3.0)
         assert r.score == pytest.approx(1 / (1 + np.exp(-(4.0 * max(best, -3.0) + 0.5))), abs=1e-3)
+
+
+def test_tables_go(spark):
+    """A block's tables go with it or before; what is saved is registered to go with the application; clusters need a folder."""
+    with Tables() as t:
+        first, second = t.save(spark.range(3)), t.save(spark.range(4))
+        paths = [p for _, p in t.held]
+        t.drop(first)
+        gone = [not files.exists(at) for files, at in (common._files(spark, p) for p in paths)]
+        assert gone == [True, False] and second.count() == 4
+    assert not any(files.exists(at) for files, at in (common._files(spark, p) for p in paths))
+    kept = common.save(spark.range(5))
+    files, at = common._files(spark, kept.inputFiles()[0].rpartition("/")[0].removeprefix("file://"))
+    assert files.exists(at) and files.cancelDeleteOnExit(at)
+    files.delete(at, True)
+
+
+def test_keys_tell_rows_apart(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 7).selectExpr("id % 10 AS doc_id", "'same' AS text")
+    rows.write.parquet(str(tmp_path / "a"))
+    read = spark.read.parquet(str(tmp_path / "a"))
+    for df in (read, read.where("doc_id > 4").select("text", "doc_id"), rows, read.union(read), read.join(read.select("doc_id").distinct(), "doc_id")):
+        keyed = common.keyed(df)
+        assert keyed.select("_row").distinct().count() == keyed.count() == df.count()
+        assert keyed.join(keyed.select("_row"), "_row").count() == df.count()
