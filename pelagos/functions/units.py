@@ -184,5 +184,13 @@ def coded(value: Column, codes: dict, fill: int | float) -> Column:
     return F.coalesce(F.try_element_at(known, value), F.lit(fill))
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """As SQL engines round doubles: the scaled double goes to the nearest whole number, halves away from zero, and keeps its
+    sign. Spark's round takes the shortest decimal text of the value instead, where more values are halves."""
+    scale = float(10**digits)
+    whole = F.signum(value) * F.round(F.abs(value) * scale)
+    return F.when(F.abs(whole) < float("inf"), whole / scale).otherwise(value)
+
+
 def filled(value: Column, fill: float = -9999.9) -> Column:
     return F.coalesce(F.when(~F.isnan(value), value), F.lit(fill))

@@ -135,7 +135,7 @@ def flag_promotion(spark, d):
 
 @query(f"SELECT event_id AS record_id, CASE WHEN event_id % 3 = 0 THEN 'UNKNOWN' ELSE event_type END AS level, CASE WHEN event_id % 11 <> 0 THEN printf('POINT (%.5f %.5f)', lon, round(lat, 2)) END AS location FROM ({_FIXES})")
 def derived_facts(spark, d):
-    fixes = _fixes(spark, d).select(F.col("event_id").alias("record_id"), F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("level"), F.col("ts").alias("time"), F.round("lat", 2).alias("latitude"), F.when(F.col("event_id") % 11 != 0, F.col("lon")).alias("longitude"), F.col("user_id").alias("platform_id"))
+    fixes = _fixes(spark, d).select(F.col("event_id").alias("record_id"), F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("level"), F.col("ts").alias("time"), units.rounded(F.col("lat"), 2).alias("latitude"), F.when(F.col("event_id") % 11 != 0, F.col("lon")).alias("longitude"), F.col("user_id").alias("platform_id"))
     return store.facts(fixes).select("record_id", "level", "location")
 
 

@@ -1,3 +1,4 @@
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,6 +41,18 @@ def test_tolerance_and_speed_limits(spark):
     assert one(spark, units.speed_limit(F.lit("36 km h-1"))) == pytest.approx(10) and one(spark, units.speed_limit(F.lit("fast"))) == 40
 
 
+def test_rounding_is_that_of_the_sql(spark):
+    """lat of event 5337 is -17.955, which scales to a little less than 1795.5; a small negative value keeps its sign."""
+    values = [-18 + 45.0 / 1000, 2.675, 1.005, 0.125, -0.125, -0.001, 0.0, 1e300, 1e308, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r.x for r in df.select(F.format_string("%.5f", units.rounded(F.col("v"), 2)).alias("x")).collect()][:7]
+    want = [duckdb.execute("SELECT printf('%.5f', round(?::DOUBLE, 2))", [v]).fetchone()[0] for v in values][:7]
+    assert got == want and got[0] == "-17.95000"
+    got = [r.x for r in df.select(units.rounded(F.col("v"), 2).alias("x")).collect()]
+    want = [duckdb.execute("SELECT round(?::DOUBLE, 2)", [v]).fetchone()[0] for v in values]
+    assert list(map(repr, got)) == list(map(repr, want))
+
+
 def test_service_is_inclusive(spark):
     t = lambda s: F.lit(s).cast("timestamp")
     assert one(spark, text.in_service(t("2016-12-31 23:59:59"), t("2016-01-01"), t("2016-12-31 23:59:59")))
