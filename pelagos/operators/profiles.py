@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,11 +29,18 @@ def gradient_value() -> Column:
     return F.abs(F.col("v2") - (F.col("v1") + F.col("v3")) / 2)
 
 
-def spikes(df: DataFrame, keys: list[str], order: list[str], value: str, spike: float, gradient: float | None = None) -> DataFrame:
-    """Flagged levels with a ``code``: spike, or gradient where there is no spike. Null neighbours are not tested."""
-    code = F.when(at_least(spike_value(), F.lit(float(spike))), "spike")
+def _limits(exact: bool):
+    """(at least, at most), tolerant of rounding errors or, if exact, as plain SQL compares."""
+    return (operator.ge, operator.le) if exact else (at_least, at_most)
+
+
+def spikes(df: DataFrame, keys: list[str], order: list[str], value: str, spike: float, gradient: float | None = None, exact: bool = False) -> DataFrame:
+    """Flagged levels with a ``code``: spike, or gradient where there is no spike. Null neighbours are not tested. Values a
+    rounding error below a limit reach it, unless ``exact``."""
+    least, _ = _limits(exact)
+    code = F.when(least(spike_value(), F.lit(float(spike))), "spike")
     if gradient is not None:
-        code = code.when(at_least(gradient_value(), F.lit(float(gradient))), "gradient")
+        code = code.when(least(gradient_value(), F.lit(float(gradient))), "gradient")
     return neighbours(df, keys, order, value).withColumn("code", code).where("code is not null")
 
 
