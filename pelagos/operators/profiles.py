@@ -75,13 +75,15 @@ def decreasing(df: DataFrame, keys: list[str], order: list[str], value: str) ->
     return df.withColumn("previous", last).where(F.col(value) < F.col("previous"))
 
 
-def inversions(df: DataFrame, keys: list[str], order: list[str], depth: str, value: str, step: float = 0.1, gap: float = 50.0, deepest_first: float = 75.0, cold: float = 4.0) -> DataFrame:
-    """Extrema that have an opposite one within ``gap`` metres above, below ``deepest_first`` and before a cold level."""
+def inversions(df: DataFrame, keys: list[str], order: list[str], depth: str, value: str, step: float = 0.1, gap: float = 50.0, deepest_first: float = 75.0, cold: float = 4.0, exact: bool = False) -> DataFrame:
+    """Extrema that have an opposite one within ``gap`` metres above, below ``deepest_first`` and before a cold level. Bends a
+    rounding error short of ``step`` reach it, unless ``exact``."""
     w = _window(keys, order)
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     kept = df.where(F.col(depth) > deepest_first).withColumn("was_cold", F.max((F.col(value) < cold).cast("int")).over(so_far)).where("was_cold = 0")
     seen = neighbours(kept, keys, order, value).withColumn("bend", F.col("v2") - (F.col("v1") + F.col("v3")) / 2)
-    kind = F.when(at_least(F.col("bend"), F.lit(step)), 1).when(at_most(F.col("bend"), F.lit(-step)), -1)
+    least, most = _limits(exact)
+    kind = F.when(least(F.col("bend"), F.lit(step)), 1).when(most(F.col("bend"), F.lit(-step)), -1)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     marked = seen.withColumn("kind", kind)
     for sign, name in ((1, "high"), (-1, "low")):
