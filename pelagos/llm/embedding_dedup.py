@@ -33,21 +33,19 @@ class Hashing(NamedTuple):
     scale: float
 
 
-#: (distinct vectors up to which it is used, hashing). Two unrelated vectors of 64 dimensions meet in a table with a
-#: probability of about 2.5e-3, 9e-5 and 5e-6, so that the members a vector asks stay in the thousands at most; pairs
-#: at a cosine of exactly 0.9 meet in some table with a probability of about 0.99, closer ones almost surely.
-HASHINGS = ((500_000, Hashing(5, 1, 8, 0.75)), (20_000_000, Hashing(8, 2, 16, 0.55)), (None, Hashing(10, 3, 32, 0.45)))
+#: One for inputs of any size, so that whether two vectors are linked follows from these two alone. Two unrelated vectors of
+#: 64 dimensions meet with a probability of about 5e-6 in a table; pairs at a cosine of exactly 0.9 meet in some table with a
+#: probability of about 0.99, closer ones almost surely.
+HASHING = Hashing(10, 3, 32, 0.45)
+HASHINGS = ((None, HASHING),)
+#: Bits of the map that tells which cells have members: 4 MB.
+SIEVE = 1 << 25
 #: Members and askers of a cell that one task compares at most; fuller cells are dealt to several tasks.
 CELL = 4096
 #: Rows and columns that are compared at once, pairs that are placed at once, and pairs of small cells taken together.
 _TILE, _PAIRS, _TOGETHER = 512, 50_000, 20_000
 
 
-def hashing(n: int) -> Hashing:
-    """For n distinct vectors."""
-    return next(h for most, h in HASHINGS if most is None or n <= most)
-
-
 @cache
 def _tables(dims: int, how: Hashing) -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.default_rng([20, dims])
@@ -57,18 +55,24 @@ def _tables(dims: int, how: Hashing) -> tuple[np.ndarray, np.ndarray]:
 
 def _beside(y: np.ndarray, how: Hashing, odd: np.ndarray) -> np.ndarray:
     """Keys by (vector, place) in one table: those of the nearest cells, by the distances of all blocks together."""
+    rank = np.arange(1, 2 + how.beside)
+    # By distance in each block, others are no farther than a pair of ranks whose product is larger.
+    left, right = np.nonzero(np.multiply.outer(rank, rank) <= len(rank))
+    none = np.zeros((len(y), 1), np.int64)
     total, extra = None, None
     for k in range(how.blocks):
-        points, more = lattice.cells(y[:, 8 * k : 8 * k + 8], how.beside)
-        mixed = ((2 * points).astype(np.int64) * odd[8 * k : 8 * k + 8]).sum(axis=2)
+        part = odd[8 * k : 8 * k + 8]
+        own, order, more = lattice.beside(y[:, 8 * k : 8 * k + 8], how.beside)
+        by = np.argsort(more, axis=1)
+        order, more = np.take_along_axis(order, by, 1), np.concatenate([none, np.take_along_axis(more, by, 1)], axis=1)
+        steps = ((2 * lattice.SHORTEST).astype(np.int64) * part).sum(axis=1)
+        mixed = ((2 * own).astype(np.int64) * part).sum(axis=1)[:, None] + np.concatenate([none, steps[order]], axis=1)
         if total is None:
             total, extra = mixed, more
             continue
-        sums = (extra[:, :, None] + more[:, None, :]).reshape(len(y), -1)
-        both = (total[:, :, None] + mixed[:, None, :]).reshape(len(y), -1)
-        order = np.argpartition(sums[:, 1:], how.beside - 1, axis=1)[:, : how.beside] + 1 if how.beside else np.zeros((len(y), 0), np.int64)
-        order = np.concatenate([np.zeros((len(y), 1), np.int64), order], axis=1)  # the first is always the own cell
-        total, extra = np.take_along_axis(both, order, 1), np.take_along_axis(sums, order, 1)
+        sums = extra[:, left] + more[:, right]
+        best = np.concatenate([none, np.argsort(sums[:, 1:], axis=1)[:, : how.beside] + 1], axis=1)  # the first is always the own cell
+        total, extra = np.take_along_axis(total, left[best], 1) + np.take_along_axis(mixed, right[best], 1), np.take_along_axis(sums, best, 1)
     return total
 
 
@@ -96,8 +100,19 @@ class _Cells:
 
     def __init__(self, key: np.ndarray, node: np.ndarray, n: np.ndarray, asks: np.ndarray, own: np.ndarray, unit: np.ndarray, how: Hashing) -> None:
         self.key, self.node, self.n, self.asks, self.own, self.unit, self.how = key, node, n, asks, own, unit, how
-        self.gained, self.parent, self.cells = np.zeros(len(node), np.int64), np.arange(len(node)), {}
-        self.hit = np.zeros(len(node), bool)
+        # Of each vector, in the order of nodes, whatever the number of cells: a row of it, links, what it is joined with.
+        _, self.first, self.vector = np.unique(node, return_index=True, return_inverse=True)
+        self.gained, self.parent = np.zeros(len(self.first), np.int64), np.arange(len(self.first))
+        self.held, self.known = np.empty((len(self.first), how.tables, 1 + how.beside), np.int64), np.zeros(len(self.first), bool)
+        self.hit = np.zeros(len(self.first), bool)
+
+    def _keys(self, rows: np.ndarray) -> np.ndarray:
+        """Of these rows' vectors, each computed once."""
+        at = self.vector[rows]
+        new = np.unique(at[~self.known[at]])
+        if len(new):
+            self.held[new], self.known[new] = keys(self.unit[self.first[new]], self.how), True
+        return self.held[at]
 
     def pairs(self, q: np.ndarray, m: np.ndarray) -> None:
         """Counts and joins pairs that are alike: q asks, m is a member of the same cell.
@@ -106,20 +121,24 @@ class _Cells:
         in the lesser cell if each asks the other's, and once. All of that follows from the two vectors' keys.
         """
         used, at = np.unique(np.concatenate([q, m]), return_inverse=True)
-        cells = keys(self.unit[used], self.how)
+        cells = self._keys(used)
         for a in range(0, len(q), _PAIRS):
             i, j = at[: len(q)][a : a + _PAIRS], at[len(q) :][a : a + _PAIRS]
-            key, rows = self.key[used[i]], np.arange(len(i))
+            key = self.key[used[i]]
             n = key % 16
-            asks, asked = (cells[i] == cells[j][:, :, :1]).any(axis=2), (cells[j] == cells[i][:, :, :1]).any(axis=2)
-            first = (asks | asked).argmax(axis=1)
-            there, back, own_i, own_j = asks[rows, n], asked[rows, n], cells[i, n, 0], cells[j, n, 0]
+            first = n.copy()
+            for t in range(n.max()):
+                left = np.flatnonzero((first == n) & (n > t))
+                met = (cells[i[left], t] == cells[j[left], t, :1]).any(axis=1) | (cells[j[left], t] == cells[i[left], t, :1]).any(axis=1)
+                first[left[met]] = t
+            own_i, own_j = cells[i, n, 0], cells[j, n, 0]
+            there, back = (cells[i, n] == own_j[:, None]).any(axis=1), (cells[j, n] == own_i[:, None]).any(axis=1)
             place = np.where(there & back, np.minimum(own_i, own_j), np.where(there, own_j, own_i))
             counted = (first == n) & (place == key)
             for x, y in ((used[i], used[j]), (used[j], used[i])):
-                np.add.at(self.gained, x[counted], self.n[y[counted]])
-        self.hit[used] = True
-        self._join(q, m)
+                np.add.at(self.gained, self.vector[x[counted]], self.n[y[counted]])
+        self.hit[self.vector[used]] = True
+        self._join(self.vector[q], self.vector[m])
 
     def _join(self, q: np.ndarray, m: np.ndarray) -> None:
         while True:
@@ -133,25 +152,30 @@ class _Cells:
     def _fit(self, q: np.ndarray, m: np.ndarray) -> np.ndarray:
         return self.asks[q] & (self.node[q] != self.node[m]) & (~self.own[q] | (self.node[q] < self.node[m]))
 
+    def _verified(self, q: np.ndarray, m: np.ndarray, cosine: float) -> None:
+        """Of these pairs, those that are alike, computed in one way whatever the cell's size."""
+        alike = np.zeros(len(q), bool)
+        for a in range(0, len(q), _TOGETHER):
+            i, j = q[a : a + _TOGETHER], m[a : a + _TOGETHER]
+            alike[a : a + _TOGETHER] = np.einsum("ij,ij->i", self.unit[i], self.unit[j]) >= cosine
+        if alike.any():
+            self.pairs(q[alike], m[alike])
+
     def few(self, q: np.ndarray, m: np.ndarray, cosine: float) -> None:
         """Pairs of small cells, one by one."""
         for a in range(0, len(q), _TOGETHER):
             i, j = q[a : a + _TOGETHER], m[a : a + _TOGETHER]
             fit = self._fit(i, j)
-            i, j = i[fit], j[fit]
-            alike = np.einsum("ij,ij->i", self.unit[i], self.unit[j]) >= cosine
-            if alike.any():
-                self.pairs(i[alike], j[alike])
+            self._verified(i[fit], j[fit], cosine)
 
     def many(self, rows: slice, members: int, cosine: float) -> None:
         """A cell of many rows, tile by tile."""
         for a in range(rows.start, rows.stop, _TILE):
             for b in range(rows.start, rows.start + members, _TILE):
-                q, m = np.nonzero(self.unit[a : min(a + _TILE, rows.stop)] @ self.unit[b : min(b + _TILE, rows.start + members)].T >= cosine)
+                q, m = np.nonzero(self.unit[a : min(a + _TILE, rows.stop)] @ self.unit[b : min(b + _TILE, rows.start + members)].T >= cosine - 1e-9)
                 q, m = q + a, m + b
                 fit = self._fit(q, m)
-                if fit.any():
-                    self.pairs(q[fit], m[fit])
+                self._verified(q[fit], m[fit], cosine)
 
     def links(self, member: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(node, links counted here, a node that it is linked with here, the same for all it reaches here)."""
@@ -168,7 +192,8 @@ class _Cells:
         at = np.arange(len(q)) - np.repeat(np.cumsum(per) - per, per)
         self.few(q, np.repeat(np.repeat(starts, size), per) + at, cosine)
         used = np.flatnonzero(self.hit)
-        return self.node[used], self.gained[used], self.node[self.parent[used]]
+        node = self.node[self.first]
+        return node[used], self.gained[used], node[self.parent[used]]
 
 
 def near_links(
@@ -179,7 +204,7 @@ def near_links(
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, as do rows without an
     id; vectors of different length don't link. An id may have any type that has an order. Other columns of vectors are not
     read. Equal vectors are one class (combined before the shuffle) that counts as often as it comes; links are counted,
-    never listed. ``how`` is chosen by the number of classes, if it is not given. A cell of more than ``cell`` members is
+    never listed. ``how`` is HASHING, if it is not given, whatever the number of rows. A cell of more than ``cell`` members is
     dealt out: its members and those who ask them to a square of tasks.
     """
     spark = arrow(vectors.sparkSession)
@@ -192,8 +217,7 @@ def near_links(
     rows = vectors.select(F.col(id_col).alias("id"), v.alias("v"), F.coalesce(sound, F.lit(False)).alias("sound"))
     with Tables() as t:
         classes = t.save(rows.where("sound").groupBy("v").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")).withColumn("node", F.monotonically_increasing_id()))
-        how = how or hashing(classes.count())
-        found = t.save(_found(classes, how, cosine, cell, of, width, t))
+        found = t.save(_found(classes, how or HASHING, cosine, cell, of, width, t))
         counted = found.groupBy("node").agg(F.sum("gained").alias("gained"))
         roots = components(found.select(F.col("node").alias("src"), F.col("root").alias("dst"))).withColumnRenamed("node", "at")
         placed = t.save(
@@ -217,15 +241,17 @@ def _found(classes: DataFrame, how: Hashing, cosine: float, cell: int, of: type,
             for dims in sorted({len(x) for x in lists}):
                 rows = [i for i, x in enumerate(lists) if len(x) == dims]
                 raw = np.array([lists[i] for i in rows], of)
-                got = keys(_unit(raw.astype(np.float64)), how)
+                got = keys(_unit(raw.astype(np.float64)), how if whole else how._replace(beside=0))
                 if not whole:
                     yield pa.RecordBatch.from_arrays([pa.array(got[:, :, 0].ravel())], names=["key"])
                     continue
-                # Places of a table that come to one cell are one.
+                # Places of a table that come to one cell are one; a cell without members is not asked.
                 got = got.reshape(len(rows) * how.tables, -1)
                 once = np.ones(got.shape, bool)
                 for k in range(1, got.shape[1]):
                     once[:, k] = (got[:, :k] != got[:, k : k + 1]).all(axis=1)
+                bit = got[:, 1:] >> 4 & (SIEVE - 1)
+                once[:, 1:] &= (sieve[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).astype(bool)
                 at, place = np.nonzero(once)
                 index = pa.array(at // how.tables)
                 some = batch.take(pa.array(rows))
@@ -235,7 +261,9 @@ def _found(classes: DataFrame, how: Hashing, cosine: float, cell: int, of: type,
                 )
 
     members = classes.select("v").mapInArrow(lambda found: spread(found, False), "key long")
-    full = t.save(members.groupBy("key").count().where(F.col("count") > cell).select("key", F.ceil(F.col("count") / cell).cast("int").alias("parts")))
+    filled = t.save(members.groupBy("key").count())
+    full = filled.where(F.col("count") > cell).select("key", F.ceil(F.col("count") / cell).cast("int").alias("parts"))
+    sieve = _sieve(filled)
     met = classes.select("v", "node", "n").mapInArrow(lambda found: spread(found, True), "key long, own boolean, node long, n long, vector binary")
     if full.limit(1).count():
         # In tile (i, j) those whose home is i ask the members whose home is j.
@@ -286,6 +314,15 @@ def _found(classes: DataFrame, how: Hashing, cosine: float, cell: int, of: type,
     return dealt.mapInArrow(link, "node long, gained long, root long")
 
 
+def _sieve(filled: DataFrame) -> np.ndarray:
+    """Bits of the cells in filled, eight a byte, by a part of the key; of fixed size."""
+    bit = F.shiftright("key", 4).bitwiseAND(SIEVE - 1)
+    words = filled.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftright(key, 4) & 63 AS int))")).alias("mask")).toArrow()
+    out = np.zeros(SIEVE >> 6, "<i8")
+    out[words.column("word").to_numpy()] = words.column("mask").to_numpy()
+    return out.view(np.uint8)
+
+
 def _runs(i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
     """Stretches of rows of the same tile."""
     cuts = (np.flatnonzero((np.diff(i) != 0) | (np.diff(j) != 0)) + 1).tolist()

@@ -40,13 +40,22 @@ def decode(y: np.ndarray) -> np.ndarray:
     return np.where(closer[:, None], b, a)
 
 
-def cells(y: np.ndarray, beside: int) -> tuple[np.ndarray, np.ndarray]:
-    """(points, extra): for each row the nearest point and the ``beside`` next ones among its 240 neighbours.
-
-    points has shape (rows, 1 + beside, 8); extra is how much farther each is, in squared distance.
-    """
+def beside(y: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(own, order, extra): for each row the nearest point, the places in SHORTEST of the ``many`` next ones among its 240
+    neighbours, and how much farther each of these is, in squared distance."""
     own = decode(y)
+    if not many:
+        return own, np.zeros((len(y), 0), np.int64), np.zeros((len(y), 0))
     extra = 2 - 2 * (y - own) @ SHORTEST.T
-    order = np.argpartition(extra, beside, axis=1)[:, :beside] if beside < 240 else np.argsort(extra, axis=1)
+    order = np.argpartition(extra, many, axis=1)[:, :many] if many < 240 else np.argsort(extra, axis=1)
+    return own, order, np.take_along_axis(extra, order, 1)
+
+
+def cells(y: np.ndarray, many: int) -> tuple[np.ndarray, np.ndarray]:
+    """(points, extra): as ``beside``, the nearest point and the next ones together.
+
+    points has shape (rows, 1 + many, 8).
+    """
+    own, order, extra = beside(y, many)
     points = np.concatenate([own[:, None], own[:, None] + SHORTEST[order]], axis=1)
-    return points, np.concatenate([np.zeros((len(y), 1)), np.take_along_axis(extra, order, 1)], axis=1)
+    return points, np.concatenate([np.zeros((len(y), 1)), extra], axis=1)

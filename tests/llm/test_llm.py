@@ -232,6 +232,22 @@ def test_recall_of_the_hashings(how):
     assert met.mean() >= 0.95 and far.mean() < 0.03
 
 
+def test_links_do_not_depend_on_the_size_of_the_table(spark):
+    """Of 2,000 pairs at a cosine of 0.9 in a small table, those link that would in the largest."""
+    draw = np.random.default_rng(8)
+    a = draw.normal(size=(2000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    r = draw.normal(size=a.shape)
+    r -= (r * a).sum(axis=1, keepdims=True) * a
+    b = 0.9001 * a + (1 - 0.9001**2) ** 0.5 * r / np.linalg.norm(r, axis=1, keepdims=True)
+    how = embedding_dedup.HASHINGS[-1][1]
+    x, y = embedding_dedup.keys(a, how), embedding_dedup.keys(b, how)
+    met = ((x == y[:, :, :1]) | (y == x[:, :, :1])).any(axis=(1, 2))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([a, b]))], "vec_id long, embedding array<double>")
+    linked = {r.component_id for r in embedding_dedup.near_links(vectors).where("n_links > 0").collect()}
+    assert 0 < len(linked) < 2000 and linked == set(np.flatnonzero(met).tolist())
+
+
 def test_chat_trees_and_round_trip(spark):
     rows = [(1, 0, None, "user", "<|im_end|> <\\|x|>", 1.0), (1, 1, 0, "assistant", "a", 5.0), (1, 2, 0, "ass\nist<|%", None, None), (1, 3, 2, "assistant", "<|im_start|>", 1.0), (1, 4, 9, "user", "lone", 0.5), (1, 5, 6, "user", "cycle", 1.0), (1, 6, 5, "user", "cycle", 1.0), (None, 0, None, "assistant", "", 1.0)]
     nodes = spark.createDataFrame(rows, "tree long, node long, parent long, role string, text string, score double")
