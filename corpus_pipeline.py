@@ -35,7 +35,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that share 0.8 or more of their five-word shingles, and those that such pairs link, one row: that with
-    the smallest id, or one without an id where none has any."""
+    the smallest id, or one without an id where none has any. Fingerprints through BK-trees find candidates, bands those
+    whose fingerprints lie farther apart."""
     return near_dedup.first_of_near(docs.select(*COLUMNS))
 
 

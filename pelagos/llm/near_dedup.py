@@ -1,8 +1,10 @@
-"""Near-duplicates by the shingles they share: MinHash bands find candidates, exact Jaccard similarity decides.
+"""Near-duplicates by the shingles they share: SimHash fingerprints through BK-trees and MinHash bands find candidates,
+exact Jaccard similarity decides.
 
-At this similarity a radius of fingerprint bits would have to be about 12 of 64, where a BK-tree follows almost every edge
-(random fingerprints differ in 32 bits, 4 being the deviation) and shards by agreeing parts shrink to five bits: work that
-grows with the square. Bands grow with the input and miss fewer pairs.
+Documents whose fingerprints lie within RADIUS bits, directly or through others, are candidates of each other. At the
+similarity asked for, fingerprints differ in 10 of 64 bits on average and a radius to reach all pairs would be 18, where a
+BK-tree follows almost every edge (random fingerprints differ in 32 bits, 4 being the deviation) and shards by agreeing
+parts shrink to three bits: work that grows with the square. So bands find the pairs that lie farther apart.
 """
 
 from __future__ import annotations
@@ -18,9 +20,11 @@ from pyspark.sql import functions as F
 
 from .common import Tables, arrow, keyed, save, texts
 from .graph import components
-from .simhash import _LOWER, SEED, _edges
+from .simhash import _LOWER, SEED, _edges, links, majority
 
 SHINGLE, SIMILAR = 5, 0.8
+#: Bits that fingerprints of candidates differ in at most, and parts that these are cut into to be dealt.
+RADIUS, PARTS = 4, 6
 #: A pair of similarity s shares no band with a probability of (1 - s ** ROWS) ** BANDS: 3 in a million at 0.8.
 BANDS, ROWS = 32, 5
 #: Members of a bucket that one task compares; fuller buckets are dealt to several tasks.
@@ -92,7 +96,8 @@ def bucket_links(members: list[tuple[int, np.ndarray]], similar: float = SIMILAR
 
 
 def _signed(rows: DataFrame, shingle: int) -> DataFrame:
-    """(row, id, same, bands): ``same`` is equal where all shingles are; a band's number also tells the band."""
+    """(row, id, same, bands, fp): ``same`` is equal where all shingles are; a band's number also tells the band; ``fp`` is the
+    SimHash fingerprint of the distinct shingles as a signed long."""
     kinds = {n: rows.schema[n].dataType.simpleString() for n in ("row", "id")}
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,9 +107,10 @@ def _signed(rows: DataFrame, shingle: int) -> DataFrame:
             dealt = pa.ListArray.from_arrays(
                 np.arange(0, BANDS * len(made) + 1, BANDS, dtype=np.int32), pa.array(np.concatenate([bands(g) for g in made]) if made else np.zeros(0, np.int64))
             )
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), same, dealt], names=["row", "id", "same", "bands"])
+            fp = pa.array(np.array([majority(g) for g in made], np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), same, dealt, fp], names=["row", "id", "same", "bands", "fp"])
 
-    return rows.select("row", "id", "text").mapInArrow(run, f"row {kinds['row']}, id {kinds['id']}, same binary, bands array<long>")
+    return rows.select("row", "id", "text").mapInArrow(run, f"row {kinds['row']}, id {kinds['id']}, same binary, bands array<long>, fp long")
 
 
 def _sieved(rows: DataFrame, some: DataFrame) -> DataFrame:
@@ -119,8 +125,16 @@ def _sieved(rows: DataFrame, some: DataFrame) -> DataFrame:
     return found.where(F.col("_mask").bitwiseAND(mask) != 0).drop("_bit", "_at", "_word", "_mask")
 
 
+def fingerprint_buckets(classes: DataFrame, t: Tables) -> DataFrame:
+    """(node, band): those classes (node, fp) that are not alone, with one number for all that their fingerprints connect."""
+    fps = t.save(classes.groupBy("fp").agg(F.count(F.lit(1)).alias("m")))
+    roots = components(t.save(links(fps.select("fp"), t, RADIUS, PARTS)))
+    of = fps.join(roots, fps.fp == roots.node, "left").where("m > 1 or root is not null").select("fp", F.xxhash64(F.coalesce("root", "fp")).alias("band"))
+    return classes.join(of, "fp").select("node", "band")
+
+
 def _links(rows: DataFrame, classes: DataFrame, shingle: int, similar: float, tile: int, t: Tables) -> DataFrame:
-    places = classes.select("node", F.explode("bands").alias("band"))
+    places = t.save(fingerprint_buckets(classes, t)).unionByName(classes.select("node", F.explode("bands").alias("band")))
     full = places.groupBy("band").agg(
         F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("x"), F.min("node").alias("a"), F.max("node").alias("z")
     ).where("m > 1")
@@ -172,7 +186,7 @@ def copies(
     first = F.min(F.struct(F.col("id").isNull().alias("no"), F.col("id").alias("id"), F.col("row").alias("row"))).alias("first")
     with Tables() as t:
         signed = t.save(_signed(rows, shingle))
-        classes = t.save(signed.groupBy("same").agg(first, F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()))
+        classes = t.save(signed.groupBy("same").agg(first, F.first("bands").alias("bands"), F.first("fp").alias("fp")).withColumn("node", F.monotonically_increasing_id()))
         roots = components(t.save(_links(rows, classes, shingle, similar, tile, t)))
         least = classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
         # Those that go are fewer than those that stay: a smaller table to join.

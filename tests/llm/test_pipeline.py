@@ -1,6 +1,7 @@
 """The corpus pipeline on small fixtures: its stages against brute force, edge rows, empty tables, clashing columns."""
 
 import itertools
+import random
 import re
 import zlib
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from pelagos.llm import chat, exact_dedup, near_dedup, packing, pieces, pii, quality, simhash, toxicity, url_filter
+from pelagos.llm import chat, common, exact_dedup, near_dedup, packing, pieces, pii, quality, simhash, toxicity, url_filter
 from pelagos.llm import embedding_dedup
 from test_llm import EDGE
 
@@ -201,3 +202,32 @@ def test_clashing_columns_of_paths(spark):
     turns = spark.createDataFrame([(1, 0, "user", "a", 5), (1, 0, "user", "a", 5), (None, None, None, None, None)], "conv_id long, turn long, role string, text string, node long")
     assert sorted(r.n_turns for r in chat.digests(chat.format_paths(chat.chain(turns))).collect()) == [1, 2]
     assert chat.digests(chat.format_paths(chat.reply_trees(turns.limit(0))), ("rank",)).count() == 0
+
+
+def test_near_copies_meet_by_their_fingerprints(spark, monkeypatch):
+    """BK-trees alone, without bands, bring together what lies within the radius; those pairs that are similar link."""
+    draw = random.Random(5)
+    texts = []
+    for _ in range(30):
+        words = [f"w{draw.randrange(10**6)}" for _ in range(400)]
+        texts += [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(words[3:]), " ".join(words[:250])]
+    fps = [simhash.majority(near_dedup.grams(t)) for t in texts]
+    root = list(range(len(texts)))
+    for _ in texts:
+        root = [min(r for r, b in zip(root, fps) if (a ^ b).bit_count() <= near_dedup.RADIUS) for a in fps]
+    nodes = spark.createDataFrame([(i, fp - (1 << 64) if fp >> 63 else fp) for i, fp in enumerate(fps)], "node long, fp long")
+    with common.Tables() as t:
+        found = {}
+        for r in near_dedup.fingerprint_buckets(nodes, t).collect():
+            found.setdefault(r.band, set()).add(r.node)
+    want = {}
+    for i, r in enumerate(root):
+        want.setdefault(r, set()).add(i)
+    assert sorted(map(sorted, found.values())) == sorted(sorted(x) for x in want.values() if len(x) > 1)
+
+    monkeypatch.setattr(near_dedup, "_signed", lambda rows, shingle, made=near_dedup._signed: made(rows, shingle).withColumn("bands", near_dedup.F.array(near_dedup.F.xxhash64("row"))))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    grams = [near_dedup.grams(t) for t in texts]
+    gone = set(range(len(texts))) - {r.doc_id for r in near_dedup.first_of_near(docs).collect()}
+    sure = {i for i in range(len(texts)) if any(i > j and root[i] == root[j] and near_dedup.similarity(grams[i], grams[j]) >= 0.8 for j in range(i))}
+    assert sure and gone == sure
